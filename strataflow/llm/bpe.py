@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from strataflow.llm.common import map_slices, safe_pieces
+from strataflow.llm.common import extend, map_slices, safe_pieces
 
 #: Encoded words a worker keeps; beyond that it starts afresh.
 MEMO = 400_000
@@ -158,15 +158,12 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
 
     Null texts encode to no ids. Columns of ``docs`` stay, an own ``ids`` column is replaced.
     """
-    docs = docs.drop("ids")
 
-    def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def encode(batch: pa.RecordBatch):
         codec = load_codec(ranks_path, pattern)
-        ids = [codec.encode_packed(x or "") for x in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, "ids"])
+        return {"ids": pa.array([codec.encode_packed(x or "") for x in batch.column("text").to_pylist()], pa.binary())}
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_slices(docs, "text", encode, f"{kinds}, ids binary")
+    return extend(docs, encode, "ids binary")
 
 
 def codec_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -191,3 +191,60 @@ def safe_pieces(text: str, limit: int = 1 << 16) -> list[str]:
         begin = cut.start()
     out.append(text[begin:])
     return out
+
+
+def extend(docs: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], added: str, carry: list[str] | None = None, column: str = "text", limit: int = 2 << 20) -> DataFrame:
+    """``docs`` with the columns ``added`` ("name type, ...") that ``make`` computes from each slice.
+
+    A narrow map: no shuffle. Columns of ``docs`` with the same names are replaced. Only the columns
+    that ``carry`` names come back from Python, all unless it is given.
+    """
+    names = [part.split()[0] for part in added.split(", ")]
+    docs = docs.drop(*names)
+    kept = [f for f in docs.schema if carry is None or f.name in carry]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        made = make(batch)
+        return pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *(made[n] for n in names)], [*(f.name for f in kept), *names])
+
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
+    return map_slices(docs, column, run, kinds + added, limit)
+
+
+def spans_in(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many set flags lie between each two neighbouring offsets."""
+    return np.diff(np.searchsorted(np.flatnonzero(flags), offsets))
+
+
+def covered(n: int, begins: np.ndarray, width: int) -> np.ndarray:
+    """Which of n positions lie within ``width`` positions from any of ``begins`` on."""
+    steps = np.zeros(n + width + 1, np.int32)
+    np.add.at(steps, begins, 1)
+    np.add.at(steps, begins + width, -1)
+    return np.cumsum(steps)[:n] > 0
+
+
+def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    r"""(begins, ends, first): the \n-split lines of each text, an empty text having one empty line."""
+    breaks = np.flatnonzero(data == 10)
+    begins = np.sort(np.concatenate([offsets[:-1], breaks + 1]))
+    ends = np.sort(np.concatenate([breaks, offsets[1:]]))
+    first = np.concatenate([[0], np.cumsum(np.diff(np.searchsorted(breaks, offsets)) + 1)]).astype(np.int64)
+    return begins, ends, first
+
+
+def hash_spans(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans as they are."""
+    return _hash_spans(data, begins, ends, _BYTE_KEYS)
+
+
+def seen_before(keys: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key whether it occurs earlier in its group, and whether it occurs there more than once."""
+    joint = mix(keys ^ mix(groups.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(1)))
+    order = np.argsort(joint, kind="stable")
+    same = joint[order[1:]] == joint[order[:-1]]
+    earlier, twice = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+    earlier[order[1:]] = same
+    twice[order[1:]] |= same
+    twice[order[:-1]] |= same
+    return earlier, twice

@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.llm.bpe import codec_digests
+from strataflow.llm.fertility import quality_rules
 from strataflow.llm.sequences import sequence_round_trip
 from strataflow.llm.tokens import count_tokens
+from strataflow.llm.winnow import contamination_digests
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,14 +26,46 @@ def op7_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
+
+
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op6_token_fertility": op6_token_fertility,
     "op7_arrow_sequences": op7_arrow_sequences,
+    "op9_winnowing": op9_winnowing,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_winnowing": f"""
+        WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS.format("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+        bw AS (SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS k
+               FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                     FROM (SELECT *, least(10, len(w)) AS n FROM b WHERE len(w) > 0))),
+        dw AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS k
+               FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                     FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+        hits AS (SELECT doc_id, i, n, item FROM dw JOIN bw USING (n, k)),
+        marked AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+        named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+}
