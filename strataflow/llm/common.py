@@ -136,6 +136,7 @@ class Words:
         self.first = np.searchsorted(self.begins, offsets)
         self.counts = np.diff(self.first)
         self.hashes = _hash_spans(data, self.begins, self.ends, kind.key)
+        self.data, self.key = data, kind.key
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the k words from each word on, and whether all k lie in one text."""
@@ -150,6 +151,12 @@ class Words:
             out[: n - k + 1] = mix(acc)
         return out, room
 
+    def stems(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The words of more than ``size`` bytes, and the hashes of their first ``size`` bytes."""
+        longer = np.flatnonzero(self.ends - self.begins > size)
+        begins = self.begins[longer]
+        return longer, mix(_hash_spans(self.data, begins, begins + size, self.key) + U64(size))
+
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.llm.bpe import codec_digests
+from strataflow.llm.crf import quality_scores
 from strataflow.llm.fertility import quality_rules
+from strataflow.llm.nnpu import toxicity_scores
 from strataflow.llm.sequences import sequence_round_trip
 from strataflow.llm.tokens import count_tokens
 from strataflow.llm.winnow import contamination_digests
@@ -26,11 +28,19 @@ def op7_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
 
 
+def op8_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -41,8 +51,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op5_line_crf": op5_line_crf,
     "op6_token_fertility": op6_token_fertility,
     "op7_arrow_sequences": op7_arrow_sequences,
+    "op8_nnpu_toxicity": op8_nnpu_toxicity,
     "op9_winnowing": op9_winnowing,
     "op10_byte_bpe": op10_byte_bpe,
 }
