@@ -13,6 +13,7 @@ from strataflow.llm.fertility import quality_rules
 from strataflow.llm.nnpu import toxicity_scores
 from strataflow.llm.sequences import sequence_round_trip
 from strataflow.llm.tokens import count_tokens
+from strataflow.llm.warc import warc_round_trip
 from strataflow.llm.winnow import contamination_digests
 
 
@@ -20,6 +21,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -50,6 +55,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
     "op5_line_crf": op5_line_crf,
     "op6_token_fertility": op6_token_fertility,
@@ -62,6 +68,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        d AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+        f AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM d LEFT JOIN f USING (payload_digest)
+    """,
     "op9_winnowing": f"""
         WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
         b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS.format("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
