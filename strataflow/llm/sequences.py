@@ -15,25 +15,30 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import remove_path, safe_pieces, scratch_path, slices, written
+from strataflow.llm.common import remove_path, scratch_path, slices, written
 from strataflow.llm.tokens import load_tokenizer
 
 MAGIC = b"ARROW1"
-MEMO = 400_000
-#: The pre-tokenizer pattern of byte-level BPE. Fixed value of the public format.
-WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Characters on whose classes all versions of the Unicode tables agree.
-SETTLED = r"[\t\n\r -~\xa1-ɏΑ-ΡΣ-ωЀ-џ‐-‧€]*"
+#: Encoded words a worker keeps; beyond that it starts afresh.
+MEMO = 1_000_000
+#: Letters, numbers and white space among the characters on whose kinds all Unicode tables agree.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏΑ-ΡΣ-ωЀ-џ"
+NUMBERS = "0-9²³¹¼-¾"
+SPACES = r" \t\n\r"
+#: Texts of these characters alone are cut into words here.
+SETTLED = rf"[{SPACES}!-~¡-ɏΑ-ΡΣ-ωЀ-џ‐-‧€]*"
+#: The byte-level pre-tokenizer's pattern, a fixed value of the public format, over those characters.
+WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 
 
 class WordEncoder:
@@ -46,29 +51,49 @@ class WordEncoder:
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.width = np.dtype(self.kind).itemsize
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
         self.plain = self.plain and "add_prefix_space=False" in str(self.tokenizer.pre_tokenizer)
-        self.find = regex.compile(WORDS).findall
-        self.settled = regex.compile(SETTLED).fullmatch
+        self.find = re.compile(WORDS).findall
+        self.settled = re.compile(SETTLED).fullmatch
+        self.spaced = re.compile(f" [{LETTERS}]+").fullmatch
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose text begins with a space
+        self.opens[[k for token, k in vocabulary.items() if token[0] == "Ġ"]] = True
         self.memo: dict[str, bytes] = {}
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def packed(self, text: str) -> bytes:
-        if not self.plain or any(x in text for x in self.special) or not self.settled(text):
-            return self._direct([text])[0]
-        out, memo = [], self.memo
-        for piece in safe_pieces(text, 1 << 20):
-            found = self.find(piece)
-            new = [word for word in dict.fromkeys(found) if word not in memo]
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(dict.fromkeys(found))
-            memo.update(zip(new, self._direct(new)))
-            out.append(b"".join(map(memo.__getitem__, found)))
-        return b"".join(out)
+    def _learn(self, words: set[str]) -> None:
+        """Encode words new to the memo. Those of a space and letters stay words when joined, and only
+        their first ids begin with a space: one call serves many, and its ids fall apart at those."""
+        joined = [word for word in words if self.spaced(word)]
+        rest = list(words.difference(joined))
+        self.memo.update(zip(rest, self._direct(rest)))
+        for k in range(0, len(joined), 4096):
+            part = joined[k : k + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            packed = ids.tobytes()
+            cuts = [*(np.flatnonzero(self.opens[ids]) * self.width).tolist(), len(packed)]
+            if len(cuts) != len(part) + 1:
+                raise ValueError("the vocabulary doesn't keep words apart")
+            self.memo.update(zip(part, map(packed.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, little-endian."""
+        found: list[list[str] | None] = []
+        for text in texts:
+            usual = self.plain and self.settled(text) and not any(x in text for x in self.special)
+            found.append(self.find(text) if usual else None)
+        known = self.memo
+        new = set().union(*(x for x in found if x)).difference(known)
+        if len(known) + len(new) > MEMO:
+            known.clear()
+            new = set().union(*(x for x in found if x))
+        self._learn(new)
+        return [self._direct([text])[0] if words is None else b"".join(map(known.__getitem__, words)) for text, words in zip(texts, found)]
 
 
 @lru_cache(maxsize=2)
@@ -81,7 +106,7 @@ def _bits(flags: np.ndarray, length: int) -> pa.FixedSizeListArray:
     return pa.FixedSizeListArray.from_arrays(values, length)
 
 
-def arrow_file(ids: np.ndarray, sizes: np.ndarray, doc_ids: pa.Array, length: int, place: tuple[int, int], batch_rows: int = 256) -> bytes:
+def arrow_file(ids: np.ndarray, sizes: np.ndarray, doc_ids: pa.Array, length: int, place: tuple[int, int], batch_rows: int = 1024) -> bytes:
     """One Arrow file of the documents whose ids lie one after another in ``ids``."""
     rows = -(-len(ids) // length)
     padded = np.zeros(rows * length, ids.dtype)
@@ -118,15 +143,16 @@ class SequenceFile:
             yield flat[0].to_numpy(zero_copy_only=True), *(x.to_numpy(zero_copy_only=False) for x in flat[1:])
 
     def documents(self):
-        """(doc_id, ids) of each document in order; holds one batch and one document at a time."""
-        names, held = iter(self.doc_ids), []
+        """(doc_id, number of ids, CRC-32 of the ids as 32-bit integers) of each document in order."""
+        names, size, crc = iter(self.doc_ids.to_pylist()), 0, 0
         for ids, valid, ends in self.batches():
+            wide = ids.astype("<u4")
             begin = 0
-            for end in np.flatnonzero(ends) + 1:
-                held.append(ids[begin:end])
-                yield next(names).as_py(), np.concatenate(held)
-                held, begin = [], end
-            held.append(ids[begin:][valid[begin:]])
+            for end in (np.flatnonzero(ends) + 1).tolist():
+                yield next(names), size + end - begin, zlib.crc32(wide[begin:end], crc)
+                begin, size, crc = end, 0, 0
+            rest = int(valid[begin:].sum())
+            size, crc = size + rest, zlib.crc32(wide[begin : begin + rest], crc)
 
 
 def write_sequences(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, length: int = 2048, file_tokens: int = 4 << 20) -> None:
@@ -147,10 +173,9 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, path: str, end_id: int
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                for text in part.column("text").to_pylist():
-                    packed = (encoder.packed(text) if text else b"") + end
-                    ids.append(packed)
-                    sizes.append(len(packed) // len(end))
+                for packed in encoder.packed([x or "" for x in part.column("text").to_pylist()]):
+                    ids += packed, end
+                    sizes.append(len(packed) // len(end) + 1)
                     held += sizes[-1]
                 names.append(part.column("doc_id"))
                 if held >= file_tokens:
@@ -174,11 +199,10 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column("content"):
                 file = SequenceFile(pa.BufferReader(content.as_buffer()))
-                found = [(k, n, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for k, (n, ids) in enumerate(file.documents())]
-                position, names, sizes, crc = zip(*found)
-                n = len(found)
+                names, sizes, crc = zip(*file.documents())
+                n = len(names)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([file.place[0]] * n, pa.int64()), pa.array([file.place[1]] * n, pa.int64()), pa.array(position, pa.int64()), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(crc, pa.int64())],
+                    [pa.array([file.place[0]] * n, pa.int64()), pa.array([file.place[1]] * n, pa.int64()), pa.array(np.arange(n)), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(crc, pa.int64())],
                     ["part", "seq", "position", "doc_id", "n_tokens", "ids_crc32"],
                 )
 
