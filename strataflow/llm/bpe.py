@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from strataflow.llm.common import extend, map_slices, safe_pieces
+from strataflow.llm.common import extend, safe_pieces
 
 #: Encoded words a worker keeps; beyond that it starts afresh.
 MEMO = 400_000
@@ -166,24 +166,22 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     return extend(docs, encode, "ids binary")
 
 
-def codec_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row: encodes, then decodes the ids.
+def codec_digests(docs: DataFrame, ranks_path: str, pattern: str, carry: list[str] | None = None, with_ids: bool = False) -> DataFrame:
+    """``docs`` with n_tokens, ids_sha256 and decoded_sha256: encodes, then decodes the ids.
 
-    Null and empty texts have no tokens and the digests of no bytes. Repeated rows each give a
-    row, null ids stay null, other columns are ignored. A narrow map, no shuffle.
+    Null and empty texts have no tokens and the digests of no bytes. Repeated rows each give a row,
+    null ids stay null. Only the columns that ``carry`` names stay, all unless it is given; ``ids``
+    comes along if asked for. A narrow map, no shuffle.
     """
 
-    def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def digest(batch: pa.RecordBatch):
         codec = load_codec(ranks_path, pattern)
-        sizes, ids_sha, decoded_sha = [], [], []
-        for text in batch.column("text").to_pylist():
-            ids = codec.encode_packed(text or "")
-            sizes.append(len(ids) // 4)
-            ids_sha.append(hashlib.sha256(ids).hexdigest())
-            decoded_sha.append(hashlib.sha256(codec.decode_packed(ids)).hexdigest())
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
-
-    return map_slices(docs.select("doc_id", "text"), "text", digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        packed = [codec.encode_packed(x or "") for x in batch.column("text").to_pylist()]
+        return {
+            "n_tokens": pa.array([len(x) // 4 for x in packed], pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()),
+            "decoded_sha256": pa.array([hashlib.sha256(codec.decode_packed(x)).hexdigest() for x in packed], pa.string()),
+            "ids": pa.array(packed, pa.binary()),
+        }
+
+    return extend(docs, digest, "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids, carry)

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflow.llm.bpe import codec_digests
 from strataflow.llm.crf import quality_scores
 from strataflow.llm.fertility import quality_rules
+from strataflow.llm.jaccard import near_duplicates
 from strataflow.llm.nnpu import toxicity_scores
+from strataflow.llm.reshard import shard_digests
 from strataflow.llm.sequences import sequence_round_trip
 from strataflow.llm.tokens import count_tokens
 from strataflow.llm.warc import warc_round_trip
@@ -33,6 +35,14 @@ def op7_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op4_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_digests(_table(spark, sf_dir, "documents"))
+
+
 def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -51,12 +61,15 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return codec_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return codec_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, carry=["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_flow_resharding": op4_flow_resharding,
     "op5_line_crf": op5_line_crf,
     "op6_token_fertility": op6_token_fertility,
     "op7_arrow_sequences": op7_arrow_sequences,
