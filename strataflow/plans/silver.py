@@ -67,15 +67,15 @@ def log_curve(bronze: DataFrame) -> DataFrame:
     """Curve headers with the file's own sentinel as text and number."""
     rows = dedup_by_row_hash(bronze)
     return rows.select(
-        *_lineage(rows), "mnemonic", "unit", F.col("description").alias("curve_description"), to_number("start_index").alias("start_index"), to_number("stop_index").alias("stop_index"),
-        F.col("null_value").alias("sentinel_text"), to_number("null_value").alias("sentinel"),
+        *_lineage(rows), "mnemonic", "unit", F.col("description").alias("curve_description"), to_number("start").alias("start_index"), to_number("stop").alias("stop_index"),
+        F.col("null_value_declared").alias("sentinel_text"), to_number("null_value_declared").alias("sentinel"),
     )
 
 
 def log_sample(bronze: DataFrame, headers: DataFrame) -> DataFrame:
     """Samples with sentinels as null, by the row's own declaration or else its file's."""
     rows = dedup_by_row_hash(bronze)
-    per_file = headers.groupBy("_source_file").agg(F.max("null_value").alias("_file_sentinel"))
+    per_file = headers.groupBy("_source_file").agg(F.max("null_value_declared").alias("_file_sentinel"))
     joined = rows.join(per_file, "_source_file", "left")
     value = null_if_sentinel("value", F.coalesce("null_value_declared", "_file_sentinel"))
     return joined.select(
@@ -89,7 +89,7 @@ def trajectory_station(bronze: DataFrame) -> DataFrame:
     rows = dedup_by_row_hash(bronze)
     angle = lambda c: to_degrees(to_number(c), F.coalesce(F.col(f"{c}_uom"), F.lit("dega")), strict=False)
     out = rows.select(
-        *_lineage(rows), "trajectory_uid", _int("station_seq").alias("station_seq"), date_from_iso("station_date").alias("station_date"), to_number("md").alias("md"), to_number("tvd").alias("tvd"),
+        *_lineage(rows), "trajectory_uid", _int("station_seq").alias("station_seq"), F.coalesce(date_from_iso("dtim_station"), date_from_iso("dtim_traj_start")).alias("station_date"), to_number("md").alias("md"), to_number("tvd").alias("tvd"),
         angle("incl").alias("inclination_deg"), angle("azi").alias("azimuth_deg"), to_number("dls").alias("reported_dls"), F.col("dls_uom").alias("reported_dls_uom"), F.col("source_crs"),
     )
     return out.where("md is not null")
@@ -99,8 +99,8 @@ def ddr_activity(bronze: DataFrame) -> DataFrame:
     """Report activities; times stay text, as their zones differ by report."""
     rows = dedup_by_row_hash(bronze)
     return rows.select(
-        *_lineage(rows), date_from_iso("report_date").alias("report_date"), _int("activity_seq").alias("activity_seq"), "activity_start", "activity_end", to_number("activity_md").alias("md"),
-        "activity_code", "activity_state", "comments", F.col("activity_seq").isNull().alias("is_empty_report"),
+        *_lineage(rows), date_from_iso("report_date").alias("report_date"), _int("activity_seq").alias("activity_seq"), "activity_dtim_start", "activity_dtim_end", to_number("activity_md").alias("md"),
+        "phase", "proprietary_code", "state", "state_detail_activity", "comments", F.col("activity_seq").isNull().alias("is_empty_report"),
     )
 
 
