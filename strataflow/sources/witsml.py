@@ -57,12 +57,12 @@ def read_ddr_activity(spark: SparkSession, path: str, glob: str = "*.xml") -> Da
     )
     docs = _xml(spark, path, "drillReport", schema, glob)
     rows = docs.select("*", F.posexplode_outer("activity").alias("seq", "one"))
-    npd = lambda c: F.expr(f"filter({c}, x -> lower(x.namingSystem) like 'npd code%')[0].name")
-    number = F.expr("filter(wellboreAlias, x -> lower(x.namingSystem) like 'npd number%')[0].name")
+    npd = lambda c: F.expr(f"get(filter({c}, x -> lower(x.namingSystem) like 'npd code%'), 0).name")
+    number = F.expr("get(filter(wellboreAlias, x -> lower(x.namingSystem) like 'npd number%'), 0).name")
     day = F.coalesce(local_day("dTimEnd"), report_date_from_name(F.col("_source_file")))
     found = {
         "report_date": day, "name_well": _text("nameWell"), "name_wellbore": _text("nameWellbore"), "npd_code_well": _text(npd("wellAlias")), "npd_code_wellbore": _text(npd("wellboreAlias")),
-        "npd_number": _text(number), "rig_alias": _text(F.expr("wellboreInfo.rigAlias[0].name")), "document_name": _text("documentInfo.documentName"), "document_owner": _text("documentInfo.owner"),
+        "npd_number": _text(number), "rig_alias": _text(F.expr("get(wellboreInfo.rigAlias, 0).name")), "document_name": _text("documentInfo.documentName"), "document_owner": _text("documentInfo.owner"),
         "version_kind": _text("versionKind"), "create_date": _text("createDate"), "dtim_start": _text("dTimStart"), "dtim_end": _text("dTimEnd"), "activity_seq": F.col("seq") + 1,
         "activity_dtim_start": _text("one.dTimStart"), "activity_dtim_end": _text("one.dTimEnd"), "activity_md": _text("one.md._VALUE"), "activity_md_uom": F.col("one.md._uom"), "phase": _text("one.phase"),
         "proprietary_code": _text("one.proprietaryCode"), "state": _text("one.state"), "state_detail_activity": _text("one.stateDetailActivity"), "comments": _text("one.comments"), "source_format": F.lit("xml"),
