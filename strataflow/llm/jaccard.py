@@ -22,7 +22,7 @@ from strataflow.llm.common import U64, Words, map_slices, mix, slices, text_byte
 
 SHINGLE = 5
 #: Texts of a bucket that one block of a tile holds; larger buckets are cut into blocks.
-TILE = 512
+TILE = 128
 
 
 def choose_bands(threshold: float = 0.8, rows: int = 5, recall: float = 0.998) -> int:
