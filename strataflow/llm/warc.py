@@ -23,6 +23,9 @@ from strataflow.llm.common import remove_path, scratch_path, written
 
 MAGIC = "WARC/1."
 END = "\r\n\r\n"
+#: Characters of a header at most.
+HEADER = 1 << 16
+_LENGTH = re.compile(r"(?i)\r\nContent-Length:[ \t]*(\d{1,18})[ \t]*(?:\r\n|$)")
 #: Blocks whose entry points are broadcast at a time; more are read in several scans.
 BLOCKS_AT_ONCE = 50_000
 
@@ -37,7 +40,8 @@ def with_revisits(pages: DataFrame, least: int = 100) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit(""))
     pages = pages.select("page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload.cast("binary"), 256).alias("payload_digest"))
     firsts = pages.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("pages")).where("pages > 1 and first_id is not null")
-    joined = pages.join(firsts.select("payload_digest", "first_id"), "payload_digest", "left")
+    # Written first, so that Spark knows its size and moves no payloads where it can broadcast it.
+    joined = pages.join(written(firsts.select("payload_digest", "first_id"), "warc-firsts"), "payload_digest", "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return joined.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("first_id"))).drop("first_id")
 
@@ -46,7 +50,7 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z")
     """Write a record per row of ``with_revisits``' result. A revisit's block has the HTTP header alone."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("none")), F.lit(">"))
-    uri = F.coalesce(F.regexp_replace("url", r"[\x00-\x20\x7f]", "_"), F.lit(""))
+    uri = F.replace(F.coalesce(F.regexp_replace("url", r"[\x00-\x20\x7f]", "_"), F.lit("")), F.lit(MAGIC), F.lit(MAGIC.replace("/", "%2F")))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(END))
     is_revisit = F.col("record_type") == "revisit"
     block = F.when(is_revisit, http).otherwise(F.concat(http, "payload"))
@@ -78,13 +82,11 @@ def _pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def _blocks(pieces: DataFrame) -> DataFrame:
     """A row per block: its bytes, and places of its candidates and their successors from its first piece on."""
     header = F.substring_index("value", END, 1)
-    length = F.regexp_extract(header, r"(?i)\r\nContent-Length:[ \t]*(\d{1,18})[ \t]*(?:\r\n|$)", 1)
     size = F.octet_length("value")
-    valid = header.rlike(r"^[01]\r\n") & (F.octet_length(header) < size) & (length != "")
-    heads = pieces.select("file", "block", size.cast("long").alias("size"), F.when(valid, F.octet_length(header) + len(END) + length.cast("long") + len(END)).alias("record"))
+    heads = pieces.select("file", "block", size.cast("long").alias("size"), F.octet_length(header).cast("long").alias("ends"), F.substring(header, 1, HEADER).alias("head"))
 
     def gather(batches):
-        key, begins, nexts, at = None, [], [], 0
+        key, begins, nexts, at, pending = None, [], [], 0, None
 
         def row():
             return pa.RecordBatch.from_arrays(
@@ -93,14 +95,22 @@ def _blocks(pieces: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for file, block, size, record in zip(*(c.to_pylist() for c in batch.columns)):
+            for file, block, size, ends, head in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != (file, block):
                     if key is not None:
                         yield row()
-                    key, begins, nexts, at = (file, block), [], [], 0
-                if record is not None and (block or at):
-                    begins.append(at - len(MAGIC))
-                    nexts.append(at + record)
+                    key, begins, nexts, at, pending = (file, block), [], [], 0, None
+                if (block or at) and head[:3] in ("0\r\n", "1\r\n"):
+                    pending = (at - len(MAGIC), head)
+                elif pending is not None:  # a header that holds the magic word goes on in the next piece
+                    pending = (pending[0], pending[1] + MAGIC + head)
+                if pending is not None and ends < size:
+                    if length := _LENGTH.search(pending[1]):
+                        begins.append(pending[0])
+                        nexts.append(at + ends + len(END) + int(length[1]) + len(END))
+                    pending = None
+                elif pending is not None and len(pending[1]) > HEADER:
+                    pending = None
                 at += size + len(MAGIC)
         if key is not None:
             yield row()
@@ -124,7 +134,7 @@ def _edges(blocks: DataFrame) -> DataFrame:
             for file, block, span, base, begins, nexts in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "span", "base", "begins", "nexts"))):
                 found = _exits(begins, nexts, span)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([file] * len(found)), pa.array([block] * len(found), pa.int64()), pa.array([base + k for k in found], pa.int64()), pa.array([base + k if k >= 0 else -1 for k in found.values()], pa.int64())],
+                    [pa.array([file] * len(found), pa.string()), pa.array([block] * len(found), pa.int64()), pa.array([base + k for k in found], pa.int64()), pa.array([base + k if k >= 0 else -1 for k in found.values()], pa.int64())],
                     ["file", "block", "at", "to"],
                 )
 
@@ -147,21 +157,24 @@ def _entries(blocks: DataFrame) -> DataFrame:
 
 
 def _plan(blocks: DataFrame) -> DataFrame:
-    """Blocks with their entry, and the last record that begins in an earlier block of the file."""
+    """Blocks with their entry, the last record that begins in an earlier block of the file, and whether
+    their own last record ends in a later one."""
     joined = blocks.join(_entries(blocks), ["file", "block"], "left")
 
     def last(batches):
         for batch in batches:
             rows = batch.to_pylist()
-            lasts = []
+            lasts, cut = [], []
             for row in rows:
                 follow, at, seen = dict(zip(row["begins"], row["nexts"])), None if row["entry"] is None else row["entry"] - row["base"], None
                 while at in follow:
                     seen, at = at, follow[at]
                 lasts.append(None if seen is None else seen + row["base"])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("file", "block", "base", "entry")), pa.array(lasts, pa.int64())], ["file", "block", "base", "entry", "last"])
+                cut.append(seen is not None and at > row["span"] - len(MAGIC))
+            columns = [*(batch.column(c) for c in ("file", "block", "base", "entry")), pa.array(lasts, pa.int64()), pa.array(cut, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["file", "block", "base", "entry", "last", "cut"])
 
-    lasts = joined.mapInArrow(last, "file string, block long, base long, entry long, last long")
+    lasts = joined.mapInArrow(last, "file string, block long, base long, entry long, last long, cut boolean")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     return lasts.withColumn("open", F.last("last", ignorenulls=True).over(before)).drop("last")
 
@@ -171,8 +184,8 @@ _RECORD = "file string, offset long, missing long, at long, record_type string,
 
 
 def _assemble(batches):
-    """Join pieces to records. Rows with ``missing`` > 0, or without a type, are parts of a record cut by a block's end."""
-    key, begin, fields, parts, missing, at = None, None, None, [], 0, 0
+    """Join pieces to records. Rows with ``missing`` > 0, or not at their record's offset, are parts of a record cut by a block's end."""
+    key, begin, fields, parts, missing, at, pending = None, None, None, [], 0, 0, None
     rows: list[tuple] = []
 
     def close():
@@ -195,23 +208,26 @@ def _assemble(batches):
                 key, at = (file.as_py(), block.as_py()), base.as_py()
                 if at is None:
                     raise ValueError(f"no plan for block {key}: the file was cut otherwise before")
-                begin, fields, parts, missing, first_at = opened.as_py(), None, [], 1 << 62, at
+                begin, fields, parts, missing, first_at, pending = opened.as_py(), None, [], 1 << 62, at, None
                 expected = entry.as_py()
             view = memoryview(value.as_buffer())
             here = at - len(MAGIC)
             if here == expected and (key[1] or at):
                 close()
-                raw = bytes(view[: 1 << 16])
-                head = raw.find(END.encode())
-                if head < 0:
-                    raw = bytes(view)
-                    head = raw.find(END.encode())
-                fields = {k.lower(): v.strip() for k, v in _FIELD.findall(raw, 0, head)}
-                size = int(fields[b"content-length"])
-                begin, first_at, body = here, here, view[head + len(END) :]
-                expected = at + head + len(END) + size + len(END)
-                missing = max(0, size - len(body))
-                parts = [bytes(body[:size])]
+                begin, fields, parts, missing, first_at, expected, pending = here, None, [], 0, here, None, b""
+            if pending is not None:
+                pending += (MAGIC.encode() if here != begin else b"") + bytes(view)
+                head = pending.find(END.encode())
+                if head >= 0:
+                    fields = {k.lower(): v.strip() for k, v in _FIELD.findall(pending, 0, head)}
+                    length = fields.get(b"content-length", b"")
+                    if length.isdigit():
+                        size, body = int(length), pending[head + len(END) :]
+                        expected = here + len(MAGIC) + len(view) - len(body) + size + len(END)
+                        missing, parts = max(0, size - len(body)), [body[:size]]
+                    else:  # the chain breaks here
+                        begin, fields = None, None
+                    pending = None
             elif begin is not None and missing:
                 taken = (MAGIC.encode() + bytes(view))[:missing]
                 if fields is None and not parts:
@@ -232,7 +248,8 @@ def read_warc(spark: SparkSession, path: str, blocks_at_once: int = BLOCKS_AT_ON
     """file, offset, record_type, record_id, refers_to, target_uri, payload_digest, block of each record.
 
     Uncompressed archives of versions 1.0 and 1.1. A file that doesn't begin with a record gives
-    none; where a chain breaks, the records before it stay. Empty folders give no rows.
+    none; where a chain breaks, the records before it stay. A header that holds the magic word and is
+    cut by a block's end counts as a break; ``write_warc`` makes none. Empty folders give no rows.
     """
     plan = written(_plan(written(_blocks(_pieces(spark, path)), "warc-blocks")), "warc-plan")
     count = plan.count()
@@ -249,18 +266,22 @@ def read_warc(spark: SparkSession, path: str, blocks_at_once: int = BLOCKS_AT_ON
     out = None
     for paths, part in scans:
         pieces = _pieces(spark, paths).select(F.col("value").cast("binary").alias("value"), "file", "block")
-        rows = pieces.join(F.broadcast(part), ["file", "block"], "left").mapInArrow(_assemble, _RECORD)
+        rows = pieces.join(F.broadcast(part.drop("cut")), ["file", "block"], "left").mapInArrow(_assemble, _RECORD)
         out = rows if out is None else out.union(rows)
     names = ["record_type", "record_id", "refers_to", "target_uri", "payload_digest"]
-    out = written(out, "warc-records")
-    whole = (F.col("missing") == 0) & F.col("record_type").isNotNull()
+    first = F.col("at") == F.col("offset")
+    whole = (F.col("missing") == 0) & first
+    records = out.where(whole).select("file", "offset", *names, "block")
+    if plan.where("cut").isEmpty():
+        return records
     cut = out.where(~whole)
     # Parts of a record that begins in one block and ends in another: few, and no more of one than its bytes.
     joined = cut.groupBy("file", "offset").agg(
-        F.array_sort(F.collect_list(F.struct("at", "block"))).alias("parts"), F.min("missing").alias("missing"), *(F.max(n).alias(n) for n in names)
-    ).where("record_type is not null")
-    joined = joined.select("file", "offset", *names, F.expr("aggregate(parts, cast('' as binary), (a, x) -> concat(a, x.block))").alias("block"))
-    return out.where(whole).select("file", "offset", *names, "block").unionByName(joined)
+        F.array_sort(F.collect_list(F.struct("at", "block"))).alias("parts"), F.max(F.when(first, F.col("missing") + F.octet_length("block"))).cast("int").alias("size"), *(F.max(n).alias(n) for n in names)
+    ).where("size is not null")
+    whole_block = F.expr("substring(aggregate(parts, cast('' as binary), (a, x) -> concat(a, x.block)), 1, size)")
+    joined = joined.select("file", "offset", *names, whole_block.alias("block"))
+    return records.unionByName(joined)
 
 
 def payloads(records: DataFrame) -> DataFrame:
@@ -287,6 +308,6 @@ def warc_round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` as archives to the shared folder, read them back, and give their payload figures."""
     path = scratch_path(pages.sparkSession, "warc")
     write_warc(with_revisits(pages), path)
-    result = payloads(read_warc(pages.sparkSession, path))
+    result = written(payloads(read_warc(pages.sparkSession, path)), "warc-payloads")
     remove_path(pages.sparkSession, path)
     return result
