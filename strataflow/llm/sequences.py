@@ -173,14 +173,16 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, path: str, end_id: int
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
-                for packed in encoder.packed([x or "" for x in part.column("text").to_pylist()]):
+                named, begin = part.column("doc_id"), 0
+                for k, packed in enumerate(encoder.packed([x or "" for x in part.column("text").to_pylist()])):
                     ids += packed, end
                     sizes.append(len(packed) // len(end) + 1)
                     held += sizes[-1]
-                names.append(part.column("doc_id"))
-                if held >= file_tokens:
-                    yield file()
-                    ids, sizes, names, held, count = [], [], [], 0, count + 1
+                    if held >= file_tokens:
+                        names.append(named.slice(begin, k + 1 - begin))
+                        yield file()
+                        ids, sizes, names, held, count, begin = [], [], [], 0, count + 1, k + 1
+                names.append(named.slice(begin))
         if held:
             yield file()
 
