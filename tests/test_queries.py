@@ -1,7 +1,7 @@
 """Every query against its twin in another engine."""
 
 import pytest
-from conftest import as_rows
+from support import as_rows
 
 import __spark_entry__ as entry
 from strataflow.plans import queries as core
