@@ -27,15 +27,14 @@ def scd2(df: DataFrame, key: str, tracked: list[str], order: str, ties: tuple[st
     return versions.select(key, *tracked, "version_number", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"), surrogate_key(key, "version_number").alias("key_hash"))
 
 
-def asof_join(facts: DataFrame, versions: DataFrame, key: str, moment: str, columns: dict[str, str], broadcast_rows: int | None = 1_000_000) -> DataFrame:
+def asof_join(facts: DataFrame, versions: DataFrame, key: str, moment: str, columns: dict[str, str]) -> DataFrame:
     """Each fact with the version valid at its moment, in [valid_from, valid_to); facts without one stay.
 
-    ``columns`` maps names in ``versions`` to names in the result. Versions are broadcast only if a
-    count finds at most ``broadcast_rows`` of them; None leaves the choice to Spark.
+    ``columns`` maps names in ``versions`` to names in the result. The key is an equality and the
+    interval a residual condition, so Spark broadcasts the versions if their size, known from files
+    or from the finished shuffle, allows it, and deals both sides out by the key otherwise.
     """
     slim = versions.select(F.col(key).alias("_key"), "valid_from", "valid_to", *[F.col(a).alias(f"_v_{b}") for a, b in columns.items()])
-    if broadcast_rows is not None and slim.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        slim = F.broadcast(slim)
     at = F.col(moment)
     holds = (F.col(key) == F.col("_key")) & (at >= F.col("valid_from")) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
     joined = facts.join(slim, holds, "left")

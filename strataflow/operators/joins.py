@@ -19,19 +19,16 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], left_span:
     return left.join(other, same & (share > 0)).withColumn(name, share).drop(*[f"_{k}" for k in keys])
 
 
-def lookup(df: DataFrame, crosswalk: DataFrame, system: str = "_source_system", identifier: str = "_source_identifier", broadcast_rows: int = 1_000_000) -> DataFrame:
+def lookup(df: DataFrame, crosswalk: DataFrame, system: str = "_source_system", identifier: str = "_source_identifier") -> DataFrame:
     """``df`` with wellbore_uid: by (system, identifier), else by an identifier that means one uid everywhere.
 
-    ``crosswalk`` has source_system, source_identifier, wellbore_uid. It is broadcast only if a count
-    finds at most ``broadcast_rows`` rows.
+    ``crosswalk`` has source_system, source_identifier, wellbore_uid; Spark broadcasts it if its size allows.
     """
     known = crosswalk.where("wellbore_uid is not null")
     exact = known.groupBy("source_system", "source_identifier").agg(F.min("wellbore_uid").alias("_exact"))
     alone = known.groupBy("source_identifier").agg(F.min("wellbore_uid").alias("_alone"), F.max("wellbore_uid").alias("_most")).where("_alone = _most").drop("_most")
     exact = exact.select(F.col("source_system").alias("_s"), F.col("source_identifier").alias("_i"), "_exact")
     alone = alone.select(F.col("source_identifier").alias("_j"), "_alone")
-    if known.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        exact, alone = F.broadcast(exact), F.broadcast(alone)
     out = df.join(exact, (F.col(system) == F.col("_s")) & (F.col(identifier) == F.col("_i")), "left")
     out = out.join(alone, F.col(identifier) == F.col("_j"), "left")
     return out.withColumn("wellbore_uid", F.coalesce("_exact", "_alone")).drop("_s", "_i", "_j", "_exact", "_alone")

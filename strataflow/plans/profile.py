@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from strataflow.functions.scalars import safe_divide
-from strataflow.operators.runs import day_gaps, day_runs, frozen_runs, spikes
 
 
 def uptime_buckets(daily: DataFrame, hours: str = "on_stream_hrs") -> DataFrame:
@@ -34,19 +33,26 @@ def water_cut_rise(daily: DataFrame, key: str = "wellbore_uid", day: str = "prod
     return known.where("years > 1").select(key, ((F.col("last") - F.col("first")) / (F.col("years") - 1)).alias("rise_per_year"))
 
 
-def anomaly_counts(daily: DataFrame, key: str = "wellbore_uid", day: str = "prod_date") -> DataFrame:
-    """(kind, count): shutdown runs, missing days, frozen runs and spikes."""
-    kinds = {
-        "shutdown_runs": day_runs(daily.where("on_stream_hrs = 0"), key, day).agg(F.count("*").alias("count")),
-        "missing_days": day_gaps(daily, key, day).agg(F.coalesce(F.sum("missing_days"), F.lit(0)).cast("long").alias("count")),
-        "frozen_runs": frozen_runs(daily, key, day, "oil_sm3").agg(F.count("*").alias("count")),
-        "spikes": spikes(daily, key, day, "oil_sm3").agg(F.count("*").alias("count")),
-    }
-    out = None
-    for kind, df in kinds.items():
-        df = df.select(F.lit(kind).alias("kind"), "count")
-        out = df if out is None else out.unionByName(df)
-    return out
+def anomaly_counts(daily: DataFrame, key: str = "wellbore_uid", day: str = "prod_date", spike: float = 5.0) -> DataFrame:
+    """(kind, count): shutdown runs, missing days, frozen runs and spikes, in one pass over each wellbore's days.
+
+    What begins a run is told from the few rows before: a shutdown day not preceded by one the day
+    before, and the third of equal values after a different one.
+    """
+    w = Window.partitionBy(key).orderBy(day)
+    before = lambda c, n=1: F.lag(c, n).over(w)
+    oil = F.col("oil_sm3")
+    steps = F.datediff(day, before(day))
+    rows = daily.select(
+        (F.col("on_stream_hrs").eqNullSafe(0.0) & ~F.coalesce((before("on_stream_hrs") == 0) & (steps <= 1), F.lit(False))).alias("_shut"),
+        F.greatest(F.coalesce(steps - 1, F.lit(0)), F.lit(0)).alias("_missing"),
+        F.coalesce((oil != 0) & (oil == before(oil)) & (oil == before(oil, 2)) & ~oil.eqNullSafe(before(oil, 3)), F.lit(False)).alias("_frozen"),
+        F.coalesce(F.abs(oil - before(oil)) > spike * F.stddev_samp(oil).over(Window.partitionBy(key)), F.lit(False)).alias("_spike"),
+    )
+    counts = rows.agg(
+        F.count_if("_shut").alias("shutdown_runs"), F.coalesce(F.sum("_missing"), F.lit(0)).cast("long").alias("missing_days"), F.count_if("_frozen").alias("frozen_runs"), F.count_if("_spike").alias("spikes")
+    )
+    return counts.unpivot([], ["shutdown_runs", "missing_days", "frozen_runs", "spikes"], "kind", "count")
 
 
 def sentinel_shares(samples: DataFrame) -> DataFrame:

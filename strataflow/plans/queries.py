@@ -675,3 +675,202 @@ def validate_record(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == 2, "deep").otherwise("100.5").alias("hole_depth_m"), *[F.when((kind == 4) & F.lit(c == "rpm"), "fast").when(kind == 5, None).otherwise("1.5").alias(c) for c in contract.CHANNELS],
     )
     return contract.validate_records(raw).select("event_id", "reason", "field", "raw_value")
+
+
+# ---------------------------------------------------------------- logs, trajectories, results, records
+
+def _bronze(df: DataFrame, business: list[str], system: str) -> DataFrame:
+    return bronze.add_technical_columns(df, business, system, "batch-1", "2024-01-01T00:00:00+00:00").withColumn("_wellbore_uid", F.col("_source_identifier"))
+
+
+def log_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir).select(
+        F.concat(F.lit("15/9-F-"), F.col("user_id").cast("string")).alias("well_name"), F.col("event_type").alias("mnemonic"), F.when(F.col("user_id") % 2 == 0, "API").otherwise("V/V").alias("unit"), F.lit("0").alias("start"), F.lit("9").alias("stop"), F.lit("d").alias("description"),
+        F.when(F.col("user_id") % 3 == 0, "-999.25").otherwise("-9999").alias("null_value_declared"), F.concat(F.lit("logs/"), F.col("user_id").cast("string"), F.lit(".las")).alias("_source_file"),
+        F.concat(F.lit("15/9-F-"), F.col("user_id").cast("string")).alias("_source_identifier"),
+    ).distinct()
+    return _bronze(rows, [c for c in rows.columns if not c.startswith("_")], "LAS")
+
+
+def log_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_id") % 10
+    raw = F.when(kind == 0, "-999.2500").when(kind == 3, "-9999").when(kind == 6, "nan").otherwise(F.col("event_id").cast("string"))
+    rows = events(spark, sf_dir).select(
+        F.col("event_type").alias("mnemonic"), F.lit("DEPT").alias("index_mnemonic"), F.col("event_id").cast("string").alias("index_value"), F.lit("M").alias("index_unit"), raw.alias("value"),
+        F.when(F.col("event_id") % 4 == 0, "-9999").alias("null_value_declared"), F.concat(F.lit("logs/"), F.col("user_id").cast("string"), F.lit(".las")).alias("_source_file"),
+        F.concat(F.lit("15/9-F-"), F.col("user_id").cast("string")).alias("_source_identifier"),
+    )
+    return _bronze(rows, [c for c in rows.columns if not c.startswith("_")], "LAS")
+
+
+_SAMPLES = """
+    raw AS (SELECT event_id, user_id, event_type AS mnemonic, CASE WHEN event_id % 10 IN (0, 3, 6) THEN NULL ELSE event_id END AS plain,
+                   CASE event_id % 10 WHEN 0 THEN -999.25 WHEN 3 THEN -9999.0 END AS odd, CASE WHEN event_id % 4 = 0 THEN -9999.0 WHEN user_id % 3 = 0 THEN -999.25 ELSE -9999.0 END AS declared FROM events),
+    samples AS (SELECT event_id, user_id, mnemonic, CAST(CASE WHEN plain IS NOT NULL THEN plain WHEN odd IS NULL OR odd = declared THEN NULL ELSE odd END AS DOUBLE) AS value FROM raw)"""
+
+
+@query(f"WITH {_SAMPLES} SELECT CAST(event_id AS DOUBLE) AS index_value, mnemonic, value, value IS NULL AS was_sentinel FROM samples")
+def silver_log_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.log_sample(log_samples(spark, sf_dir), log_headers(spark, sf_dir)).select("index_value", "mnemonic", "value", "was_sentinel")
+
+
+@query(f"WITH {_SAMPLES} SELECT mnemonic, count(*) AS samples, count(*) FILTER (value IS NULL) AS sentinels, round(1.0 * count(*) FILTER (value IS NULL) / count(*), 9) AS share FROM samples GROUP BY 1")
+def sentinel_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(profile.sentinel_shares(silver.log_sample(log_samples(spark, sf_dir), log_headers(spark, sf_dir))), 9)
+
+
+@query("""
+    SELECT event_type AS mnemonic, min(CASE WHEN user_id % 2 = 0 THEN 'API' ELSE 'V/V' END) AS unit, count(DISTINCT user_id % 2) AS units, count(DISTINCT user_id) AS wellbores, count(DISTINCT user_id) AS files,
+           count(DISTINCT user_id % 2) > 1 AS has_mixed_units, md5(event_type) AS curve_key FROM events GROUP BY 1""")
+def dim_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.dim_curve(silver.log_curve(log_headers(spark, sf_dir)))
+
+
+@query(f"WITH {_SAMPLES} SELECT CAST(event_id AS DOUBLE) AS index_value, md5(mnemonic) AS curve_key, md5('UNRESOLVED|15/9-F-' || CAST(user_id AS VARCHAR)) AS wellbore_key FROM samples")
+def fct_log_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = silver.log_sample(log_samples(spark, sf_dir), log_headers(spark, sf_dir))
+    return gold.fct_log_sample(facts, gold.dim_wellbore(daily(spark, sf_dir))).select("index_value", "curve_key", "wellbore_key")
+
+
+@query("""
+    SELECT 'LAS' AS source_system, '15/9-F-' || CAST(user_id AS VARCHAR) AS source_identifier, '15/9-F-' || CAST(user_id AS VARCHAR) AS wellbore_uid, count(*) AS occurrences, true AS is_resolved FROM events GROUP BY user_id
+    UNION ALL SELECT 'PROD', 'W' || CAST(l_suppkey AS VARCHAR), 'W' || CAST(l_suppkey AS VARCHAR), count(DISTINCT CAST(l_shipdate AS DATE)), true FROM lineitem GROUP BY l_suppkey""")
+def wellbore_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = silver.wellbore_identity([log_samples(spark, sf_dir), daily_bronze(spark, sf_dir)])
+    return out.select("source_system", "source_identifier", "wellbore_uid", "occurrences", "is_resolved")
+
+
+@query("""
+    WITH i AS (SELECT DISTINCT 'W' || CAST(l_suppkey % 7 AS VARCHAR) AS well, l_suppkey FROM lineitem)
+    SELECT well AS well_uid, count(*) AS wellbores, count(*) FILTER (l_suppkey % 2 = 0) AS sidetracks, CAST(1 AS BIGINT) AS source_systems, CAST(count(*) AS BIGINT) AS occurrences, md5(well) AS well_key FROM i GROUP BY 1""")
+def dim_well(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("l_suppkey")
+    rows = table(spark, sf_dir, "lineitem").select(key).distinct().select(
+        F.concat(F.lit("W"), (key % 7).cast("string")).alias("well_uid"), key.cast("string").alias("wellbore_uid"), F.when(key % 2 == 0, "A").alias("sidetrack"), F.lit("S").alias("source_system"), F.lit(1).cast("long").alias("occurrences")
+    )
+    return gold.dim_well(rows)
+
+
+@query("""
+    WITH s AS (SELECT o_custkey, o_orderkey, o_orderkey % 50 AS md, CAST(o_orderdate AS DATE) AS d FROM orders),
+    r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, md ORDER BY d DESC, CAST(o_orderkey AS VARCHAR)) AS k FROM s)
+    SELECT '15/9-F-' || CAST(o_custkey AS VARCHAR) AS wellbore_uid, CAST(md AS DOUBLE) AS md, CAST(o_orderkey AS VARCHAR) AS trajectory_uid, d AS station_date, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 180.0 ELSE 45.0 END AS DOUBLE) AS inclination_deg FROM r WHERE k = 1""")
+def fct_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataflow.sources.columns import TRAJECTORY_STATION
+
+    even = F.col("o_orderkey") % 2 == 0
+    given = {
+        "trajectory_uid": F.col("o_orderkey"), "station_seq": F.lit(1), "dtim_station": F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), "md": F.col("o_orderkey") % 50,
+        "incl": F.when(even, "3.141592653589793").otherwise("45"), "incl_uom": F.when(even, "rad").otherwise("dega"), "azi": F.lit("0"),
+    }
+    rows = table(spark, sf_dir, "orders").select(*[given.get(c, F.lit(None)).cast("string").alias(c) for c in TRAJECTORY_STATION], F.concat(F.lit("15/9-F-"), F.col("o_custkey").cast("string")).alias("_source_identifier"))
+    facts = gold.fct_trajectory(silver.trajectory_station(_bronze(rows, list(TRAJECTORY_STATION), "TRAJECTORY")), gold.dim_wellbore(daily(spark, sf_dir)))
+    return facts.select("wellbore_uid", "md", "trajectory_uid", "station_date", "inclination_deg")
+
+
+@query("""
+    WITH w AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, count(*) AS a, sum(o_orderkey) AS b, max(o_orderkey) AS c FROM orders GROUP BY 1, 2)
+    SELECT '15/9-F-' || CAST(o_custkey AS VARCHAR) AS wellbore_uid, d AS report_date, CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, phase, CAST(volume AS DOUBLE) AS volume
+    FROM (SELECT o_custkey, d, 'OIL' AS phase, a AS volume FROM w UNION ALL SELECT o_custkey, d, 'WATER', b FROM w UNION ALL SELECT o_custkey, d, 'GAS', c FROM w)""")
+def fct_simulation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").groupBy("o_custkey", F.to_date("o_orderdate").alias("d")).agg(F.count("*").alias("oil_total"), F.sum("o_orderkey").alias("water_total"), F.max("o_orderkey").alias("gas_total"))
+    rows = rows.select(F.col("d").cast("string").alias("report_date"), "oil_total", "water_total", "gas_total", F.concat(F.lit("15/9-F-"), F.col("o_custkey").cast("string")).alias("_source_identifier"))
+    results = silver.simulation_result(_bronze(rows, ["report_date", "oil_total", "water_total", "gas_total"], "SIM"))
+    return gold.fct_simulation(results, gold.dim_wellbore(daily(spark, sf_dir))).select("wellbore_uid", "report_date", "date_key", "phase", "volume")
+
+
+@query(f"""
+    WITH {_SAMPLES}, c AS (SELECT user_id, mnemonic, min(event_id) AS top, max(event_id) AS base, count(*) AS n, count(*) FILTER (value IS NULL) AS s FROM samples GROUP BY 1, 2)
+    SELECT 'logs/' || CAST(user_id AS VARCHAR) || '.las' AS source_file, CAST(user_id AS VARCHAR) || '.las' AS name, 'partition:master-data--Wellbore:15%2F9-F-' || CAST(user_id AS VARCHAR) AS wellbore,
+           CAST(min(top) AS DOUBLE) AS top, CAST(max(base) AS DOUBLE) AS base, CAST(sum(n) AS BIGINT) AS samples, CAST(sum(s) AS BIGINT) AS sentinels, min(mnemonic) AS first_curve FROM c GROUP BY user_id""")
+def export_welllog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataflow.plans import export
+
+    records = export.welllog_records(silver.log_sample(log_samples(spark, sf_dir), log_headers(spark, sf_dir)))
+    field = lambda path, kind="string": F.get_json_object("record", f"$.data.{path}").cast(kind)
+    return records.select(
+        "source_file", field("Name").alias("name"), field("WellboreID").alias("wellbore"), field("TopMeasuredDepth", "double").alias("top"), field("BottomMeasuredDepth", "double").alias("base"),
+        field("ExtensionProperties.SampleCount", "long").alias("samples"), field("ExtensionProperties.SentinelReadingCount", "long").alias("sentinels"), field("Curves[0].Mnemonic").alias("first_curve"),
+    )
+
+
+@query(f"""
+    WITH {DAILY}, {_ROLES}
+    SELECT wellbore_uid, version_number, 'partition:master-data--Wellbore:' || wellbore_uid AS id, well_role AS state, CAST(valid_from AS VARCHAR) || 'T00:00:00Z' AS effective, CAST(valid_to AS VARCHAR) || 'T00:00:00Z' AS terminated FROM versions""")
+def export_wellbore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataflow.plans import export
+
+    records = export.wellbore_records(gold.dim_wellbore(daily(spark, sf_dir)), silver.wellbore_identity([daily_bronze(spark, sf_dir)]))
+    state = lambda c: F.get_json_object("record", f"$.data.FacilityStates[0].{c}")
+    return records.select("wellbore_uid", "version_number", F.get_json_object("record", "$.id").alias("id"), state("FacilityStateTypeID").alias("state"), state("EffectiveDateTime").alias("effective"), state("TerminationDateTime").alias("terminated"))
+
+
+@query(f"""
+    WITH {DAILY}, {_ROLES}, f AS (SELECT count(*) AS n FROM silver), w AS (SELECT count(DISTINCT wellbore_uid) AS n FROM versions)
+    SELECT 'daily rows' AS name, CAST(n AS DOUBLE) AS value, n >= 14000 AS met FROM f UNION ALL SELECT 'daily keys', 100.0, true UNION ALL SELECT 'wellbores', CAST(n AS DOUBLE), n >= 7 FROM w
+    UNION ALL SELECT 'current versions', 0.0, true UNION ALL SELECT 'days', 3044.0, true""")
+def slo_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataflow.plans import slo
+
+    facts = daily(spark, sf_dir)
+    wellbores = gold.dim_wellbore(facts)
+    for name, df in {"fct_production_daily": gold.fct_production_daily(facts, wellbores), "dim_wellbore": wellbores, "dim_date": gold.dim_date(spark)}.items():
+        df.createOrReplaceTempView(name)
+    wanted = ("daily rows", "daily keys", "wellbores", "current versions", "days")
+    found = slo.evaluate(spark, [o for o in slo.default_objectives("2016-09-30") if o.name in wanted])
+    return spark.createDataFrame([(m.objective.name, m.value, m.met) for m in found], "name string, value double, met boolean")
+
+
+@query("""
+    SELECT name, true AS holds FROM (VALUES ('br02_flag_matches_the_variance'), ('br02_reconciliation_covers_every_wellbore_month'), ('br02_reconciliation_finds_real_disagreement'),
+      ('br03_injectors_never_report_produced_oil'), ('br03_produced_water_never_includes_injected_water'), ('br04_every_violating_day_is_quarantined'), ('br04_quarantined_rows_remain_in_silver'),
+      ('gold_daily_fact_row_count_matches_silver'), ('gold_every_fact_joins_to_a_wellbore_version'), ('gold_scd2_has_exactly_one_current_version'), ('gold_scd2_versions_do_not_overlap'),
+      ('silver_dedup_by_row_hash_left_no_duplicates'), ('silver_scandinavian_characters_survived'), ('br05_volumes_stay_in_sm3_until_mart')) AS t(name)""")
+def assertions_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those of the assertions that the dressed tables can meet, over models built from them."""
+    from strataflow.plans import assertions
+
+    facts, months = daily(spark, sf_dir), silver.production_monthly(monthly_bronze(spark, sf_dir))
+    wellbores = gold.dim_wellbore(facts)
+    models = {
+        "silver_production_daily": facts, "silver_production_monthly": months, "silver_production_quarantine": production.quarantine(facts), "dim_wellbore": wellbores,
+        "fct_production_daily": gold.fct_production_daily(facts, wellbores), "mart_allocation_reconciliation": mart.mart_allocation_reconciliation(facts, months), "mart_well_performance": mart.mart_well_performance(facts),
+    }
+    beyond = ("br05_choke_is_normalised_to_percent", "silver_dates_decoded_within_field_life")  # ship dates and quantities are no field's
+    held = {n: v for n, v in assertions.evaluate(models).items() if n not in beyond}
+    return spark.createDataFrame(sorted(held.items()), "name string, holds boolean")
+
+
+@query("""SELECT event_id, CAST(user_id AS VARCHAR) AS wellbore_uid, ts FROM events""")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events sent twice through the routed stream in one batch: every one arrives once."""
+    import tempfile
+
+    from strataflow.streaming import telemetry as stream
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strataflow-")
+    from uuid import uuid4
+
+    folder = f"{base}/stream-{uuid4().hex}"
+    rows = events(spark, sf_dir).select(F.col("user_id").cast("string").alias("wellbore_uid"), F.lit("1").alias("bit_depth_m"), F.lit("1").alias("hole_depth_m"), F.col("event_id").cast("string").alias("producer_seq"))
+    # The contract's times are milliseconds; each event gets a millisecond of its own to be told apart.
+    raw = rows.select("wellbore_uid", F.col("producer_seq").alias("ts"), "bit_depth_m", "hole_depth_m", "producer_seq")
+    raw.unionByName(raw).write.json(f"{folder}/in")
+    run = stream.start_routing(stream.file_source(spark, f"{folder}/in", 10_000), f"{folder}/out", f"{folder}/checkpoint")
+    run.awaitTermination()
+    arrived = stream.read_routed(spark, f"{folder}/out", "telemetry").select(F.col("producer_seq").cast("long").alias("event_id"), "wellbore_uid")
+    return arrived.join(events(spark, sf_dir).select("event_id", "ts"), "event_id")
+
+
+@query("""
+    SELECT CAST(i AS INTEGER) AS day, CAST(DATE '2008-06-01' + to_months(CAST(i AS INTEGER)) AS DATE) AS first_day, CAST(last_day(DATE '2008-06-01' + to_months(CAST(i AS INTEGER))) AS DATE) AS last_day FROM range(100) t(i)""")
+def replay_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A real day passes a field month at speed one: its window on each of the hundred days."""
+    import datetime as dt
+
+    from strataflow.operators.replay import ReplayClock
+
+    epoch = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
+    clock, day = ReplayClock(epoch), dt.timedelta(days=1)
+    windows = [(k, *clock.replay_window(epoch + k * day, epoch + (k + 1) * day)) for k in range(clock.months)]
+    return spark.createDataFrame(windows, "day int, first_day date, last_day date")

@@ -92,6 +92,18 @@ def test_models_can_be_written_in_order(spark, built, tmp_path):
     assert r.order(["mart_drilling_efficiency"]) == ["fct_drilling_state", "mart_drilling_efficiency"]
 
 
+def test_assertions_hold_and_find_what_is_broken(spark, built):
+    from strataflow.plans import assertions
+
+    models = dict(built[0])
+    assert len(assertions.ASSERTIONS) + len(assertions.MUST_FIND) == 25
+    held = assertions.evaluate(models)
+    assert len(held) == 25 and [n for n, ok in held.items() if not ok] == ["br02_reconciliation_finds_real_disagreement"]
+    models["silver_production_daily"] = models["silver_production_daily"].withColumns({"choke_pct": F.lit(500.0), "npd_facility_name": F.lit("M\ufffdRSK"), "prod_date": F.lit("1990-01-01").cast("date")})
+    broken = {n for n, ok in assertions.evaluate(models).items() if not ok}
+    assert {"br05_choke_is_normalised_to_percent", "silver_scandinavian_characters_survived", "silver_dates_decoded_within_field_life", "br02_reconciliation_covers_every_wellbore_month"} <= broken
+
+
 def test_objectives(spark, built):
     for name, df in built[0].items():
         df.createOrReplaceTempView(name)
