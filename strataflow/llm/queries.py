@@ -90,6 +90,19 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN first_id <> page_id THEN first_id END AS refers_to
         FROM d LEFT JOIN f USING (payload_digest)
     """,
+    "op3_ngram_jaccard": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 0 THEN 'text ' || text WHEN len(w) < 5 THEN 'words ' || array_to_string(w, ' ') ELSE array_to_string(w[i : i + 4], ' ') END AS g
+              FROM (SELECT doc_id, text, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * shared >= 4 * (x.n + y.n - shared)),
+        reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.b FROM reach r JOIN l ON l.a = r.other),
+        classes AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id),
+        sets AS (SELECT doc_id, md5(string_agg(g, chr(31) ORDER BY g)) AS k FROM s GROUP BY doc_id)
+        SELECT d.doc_id, class_id, CAST(coalesce(k.links, 0) AS BIGINT) AS n_links, CAST(count(*) OVER (PARTITION BY sets.k) - 1 AS BIGINT) AS n_copies
+        FROM d JOIN classes USING (doc_id) JOIN sets USING (doc_id) LEFT JOIN (SELECT a, count(*) AS links FROM l GROUP BY a) k ON k.a = d.doc_id
+    """,
     "op9_winnowing": f"""
         WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
         b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS.format("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
