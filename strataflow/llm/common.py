@@ -76,6 +76,19 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator
         begin = end
 
 
+#: Estimated bytes below which rows are dealt out to all cores before heavy work on them.
+SMALL = 64 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Small inputs, which may be a single row group, dealt out to all cores; larger ones as they are.
+
+    Large inputs come in many row groups, so there a shuffle would gain nothing.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if 0 < size < SMALL else df
+
+
 def map_slices(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema, limit: int = 2 << 20) -> DataFrame:
     """``mapInArrow`` over byte-bounded slices, so memory doesn't depend on the batch's rows."""
 
@@ -84,7 +97,7 @@ def map_slices(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], pa.R
             for part in slices(batch, column, limit):
                 yield make(part)
 
-    return df.mapInArrow(run, schema)
+    return spread(df).mapInArrow(run, schema)
 
 
 class WordKind:
