@@ -102,3 +102,21 @@ def start_routing(raw: DataFrame, folder: str, checkpoint: str, minutes: int = W
 def read_routed(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     """Rows of telemetry, late or dead_letter."""
     return spark.read.parquet(f"{folder}/{kind}").drop("batch", "ts_date")
+
+
+def avro_records(values: DataFrame, schema: str, frame_bytes: int = 5) -> DataFrame:
+    """Records of a ``value`` column of framed Avro; what doesn't decode gives null fields, so it ends as a dead letter.
+
+    Needs Spark's Avro package. The frame (a zero byte and the schema's id) stands before each record.
+    """
+    from pyspark.sql.avro.functions import from_avro
+
+    body = F.expr(f"substring(value, {frame_bytes + 1})")
+    return values.select(from_avro(body, schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+
+
+def append_stream(rows: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Append to a Parquet table by day; with a checkpoint each row is written once."""
+    writer = rows.withColumn("ts_date", F.to_date("ts")).writeStream.format("parquet").outputMode("append").partitionBy("ts_date")
+    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
