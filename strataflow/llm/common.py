@@ -81,12 +81,14 @@ SMALL = 64 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Small inputs, which may be a single row group, dealt out to all cores; larger ones as they are.
+    """Small inputs, which may be a single row group, dealt out as a shuffle would be; larger ones as they are.
 
     Large inputs come in many row groups, so there a shuffle would gain nothing.
     """
+    spark = df.sparkSession
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if 0 < size < SMALL else df
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts) if 0 < size < SMALL else df
 
 
 def map_slices(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema, limit: int = 2 << 20) -> DataFrame:
