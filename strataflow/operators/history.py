@@ -8,20 +8,34 @@ from pyspark.sql import functions as F
 from strataflow.functions.scalars import as_text, surrogate_key
 
 
-def scd2(df: DataFrame, key: str, tracked: list[str], order: str, ties: tuple[str, ...] = ()) -> DataFrame:
+def _collapse(rows: DataFrame, by: list[str], tracked: list[str], order: str, ties: list[str]) -> DataFrame:
+    """Runs of equal ``_state`` in each group: number, first moment, least tracked values."""
+    in_order = Window.partitionBy(*by).orderBy(F.col(order).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties])
+    marked = rows.withColumn("_before", F.lag("_state").over(in_order))
+    marked = marked.withColumn("_starts", F.when(F.col("_before").isNull() | (F.col("_before") != F.col("_state")), 1).otherwise(0))
+    marked = marked.withColumn("_run", F.sum("_starts").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
+    return marked.groupBy(*by, "_run").agg(F.min("_state").alias("_state"), *[F.min(c).alias(c) for c in tracked], F.min(order).alias(order))
+
+
+def scd2(df: DataFrame, key: str, tracked: list[str], order: str, ties: tuple[str, ...] = (), chunk: Column | None = None) -> DataFrame:
     """Versions of each key: consecutive rows with equal tracked values become one.
 
     key, tracked columns, version_number, valid_from, valid_to (null while open), is_current,
     key_hash. Values compare as text with null as empty. A value that comes back later starts a new
     version. Rows without a key drop out. ``ties`` orders rows of the same key and moment.
+
+    Where single keys hold a large share of the rows, give a ``chunk``, such as the month of the
+    order column: runs are then collapsed within (key, chunk) first, and only what changes meets
+    again under the key. The result is the same.
     """
-    by_time = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties])
     state = F.concat_ws("|", *[F.coalesce(as_text(c), F.lit("")) for c in tracked])
-    rows = df.where(F.col(key).isNotNull()).select(key, order, *tracked, *[t for t in ties if t not in (key, order, *tracked)], state.alias("_state"))
-    rows = rows.withColumn("_before", F.lag("_state").over(by_time))
-    rows = rows.withColumn("_starts", F.when(F.col("_before").isNull() | (F.col("_before") != F.col("_state")), 1).otherwise(0))
-    rows = rows.withColumn("version_number", F.sum("_starts").over(by_time.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
-    versions = rows.groupBy(key, "version_number").agg(*[F.min(c).alias(c) for c in tracked], F.min(order).alias("valid_from"))
+    names = list(dict.fromkeys([key, order, *tracked, *ties]))
+    rows = df.where(F.col(key).isNotNull()).select(*names, state.alias("_state"), *([chunk.alias("_chunk")] if chunk is not None else []))
+    inner = list(ties)
+    if chunk is not None:
+        rows = _collapse(rows, [key, "_chunk"], tracked, order, inner).withColumnRenamed("_run", "_local")
+        inner = ["_local"]
+    versions = _collapse(rows, [key], tracked, order, inner).withColumnsRenamed({"_run": "version_number", order: "valid_from"})
     following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("version_number"))
     versions = versions.withColumn("valid_to", following)
     return versions.select(key, *tracked, "version_number", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"), surrogate_key(key, "version_number").alias("key_hash"))

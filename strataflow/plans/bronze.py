@@ -54,7 +54,8 @@ def load_range(df: DataFrame, path: str, first: str, last: str) -> int:
     spark = df.sparkSession
     days = df.where(F.col("_replay_date").between(first, last))
     counts = {r[0]: r[1] for r in days.groupBy("_replay_date").count().collect()}
-    out = days.repartition("_replay_date").sortWithinPartitions("_replay_date")
+    # Rows of a day come together in few files, and a day that is much larger than others is split.
+    out = days.hint("rebalance", "_replay_date")
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_replay_date").parquet(path)
     day, end = dt.date.fromisoformat(first), dt.date.fromisoformat(last)
     while day <= end:

@@ -83,10 +83,12 @@ def daily_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("well_type") == "WI", "injection").otherwise("production").alias("flow_kind"), "well_type", F.col("l_suppkey").alias("_n"),
     )
     business = [c for c in rows.columns if c != "_n"]
-    named = rows.withColumns({"_source_identifier": F.col("well_bore_code"), "_source_file": F.lit("daily.xlsx")})
-    first = bronze.add_technical_columns(named, business, "PROD", "batch-1", "2024-01-01T00:00:00+00:00")
-    again = bronze.add_technical_columns(named.where("_n % 10 = 0"), business, "PROD", "batch-2", "2024-01-02T00:00:00+00:00")
-    return first.unionByName(again).withColumn("_wellbore_uid", F.col("_source_identifier"))
+    loads = F.when(F.col("_n") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    named = rows.withColumns({"_source_identifier": F.col("well_bore_code"), "_source_file": F.lit("daily.xlsx")}).withColumn("_load", F.explode(loads))
+    landed = bronze.add_technical_columns(named, [*business, "_load"], "PROD", "batch-1", "2024-01-01T00:00:00+00:00")
+    second = F.col("_load") == "2"
+    landed = landed.withColumns({"_batch_id": F.when(second, "batch-2").otherwise(F.col("_batch_id")), "_ingested_at": F.when(second, "2024-01-02T00:00:00+00:00").otherwise(F.col("_ingested_at")), "_row_hash": s.row_hash(*business)})
+    return landed.drop("_load").withColumn("_wellbore_uid", F.col("_source_identifier"))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:

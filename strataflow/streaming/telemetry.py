@@ -82,7 +82,8 @@ def route_batch(batch: DataFrame, number: int, folder: str, state: _State, minut
     good.where(late).drop("_micros").write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
     fresh = good.where(~late).dropDuplicates(["wellbore_uid", "ts"]).withColumn("ts_date", F.to_date("ts"))
     if limit is not None:
-        earlier = spark.read.parquet(f"{folder}/telemetry").where(F.col("batch") < number)
+        schema = fresh.drop("_micros").schema.add("batch", "integer")  # declared, as earlier batches may have had no new rows
+        earlier = spark.read.schema(schema).parquet(f"{folder}/telemetry").where(F.col("batch") < number)
         earlier = earlier.where(F.col("ts_date") >= F.to_date(F.timestamp_micros(F.lit(limit)))).select("wellbore_uid", "ts")
         fresh = fresh.join(earlier, ["wellbore_uid", "ts"], "left_anti")
     fresh.drop("_micros").write.mode("overwrite").partitionBy("ts_date").parquet(f"{folder}/telemetry/batch={number}")
@@ -99,9 +100,13 @@ def start_routing(raw: DataFrame, folder: str, checkpoint: str, minutes: int = W
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
 
 
+_GOOD = "wellbore_uid string, ts timestamp, source_identifier string, bit_depth_m double, hole_depth_m double, " + "".join(f"{c} double, " for c in CHANNELS) + "producer_seq string"
+ROUTED = {"telemetry": _GOOD, "late": _GOOD, "dead_letter": f"{_GOOD}, reason string, field string, raw_value string, rejected_at timestamp"}
+
+
 def read_routed(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    """Rows of telemetry, late or dead_letter."""
-    return spark.read.parquet(f"{folder}/{kind}").drop("batch", "ts_date")
+    """Rows of telemetry, late or dead_letter; none where nothing has come yet."""
+    return spark.read.schema(ROUTED[kind]).option("recursiveFileLookup", "true").parquet(f"{folder}/{kind}")
 
 
 def avro_records(values: DataFrame, schema: str, frame_bytes: int = 5) -> DataFrame:

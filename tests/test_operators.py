@@ -31,6 +31,15 @@ def test_scd2_takes_null_for_empty(spark):
     assert versions_of(spark, [("a", None, D(2020, 1, 1)), ("a", "", D(2020, 1, 2))]).count() == 1
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from(["x", "y", "", None]), st.integers(0, 120)), min_size=1, max_size=60))
+def test_scd2_in_chunks_is_the_same(spark, rows):
+    df = spark.createDataFrame([(k, v, D(2020, 1, 1) + dt.timedelta(days=d), n) for n, (k, v, d) in enumerate(rows)], "k string, v string, d date, n int")
+    plain = history.scd2(df, "k", ["v"], "d", ("n",))
+    chunked = history.scd2(df, "k", ["v"], "d", ("n",), chunk=F.trunc("d", "month"))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, chunked.collect()))
+
+
 def test_scd2_of_nothing(spark):
     assert versions_of(spark, []).count() == 0
 

@@ -57,3 +57,15 @@ def test_stateful_dedup_equals_distinct(spark, tmp_path):
     query = t.dedup_stream(good).writeStream.format("memory").queryName("deduped").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert spark.table("deduped").count() == 4
+
+
+def test_batches_without_new_rows(spark, tmp_path):
+    state = t._State(spark, f"{tmp_path}/state")
+    make = lambda rows: spark.createDataFrame([tuple(r.get(c) for c in t.RAW_COLUMNS) for r in rows], t.RAW_SCHEMA)
+    t.route_batch(make([record(0, well=" ")]), 0, f"{tmp_path}/out", state)
+    t.route_batch(make([record(50)]), 1, f"{tmp_path}/out", state)
+    t.route_batch(make([record(1)]), 2, f"{tmp_path}/out", state)
+    t.route_batch(make([]), 3, f"{tmp_path}/out", state)
+    t.route_batch(make([record(51)]), 4, f"{tmp_path}/out", state)
+    assert minutes(spark, tmp_path, "telemetry") == [50, 51] and minutes(spark, tmp_path, "late") == [1]
+    assert t.read_routed(spark, str(tmp_path / "out"), "dead_letter").count() == 1
