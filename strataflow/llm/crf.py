@@ -163,24 +163,18 @@ def fit_crf(features: np.ndarray, first: np.ndarray, labels: np.ndarray, steps:
     sizes = np.diff(first)
     y = np.repeat(labels, sizes).astype(int)
     share = np.array([sizes[labels == k].sum() for k in (0, 1)], float)
-    each = (0.5 / share)[labels]  # of every line of a document
-    linked = np.ones(len(y), bool)
-    linked[first[:-1]] = False
     theta = np.zeros(WIDTH + 4)
     moment, square = np.zeros_like(theta), np.zeros_like(theta)
-    groups = [(k, np.flatnonzero(labels == k)) for k in (0, 1)]
-    line_weight = np.repeat(each, sizes)
-    lines = [np.flatnonzero(y == k) for k in (0, 1)]
-    firsts = [np.concatenate([[0], np.cumsum(sizes[g])]) for _, g in groups]
+    lines = [x[y == k] for k in (0, 1)]
+    firsts = [np.concatenate([[0], np.cumsum(sizes[labels == k])]) for k in (0, 1)]
     for step in range(1, steps + 1):
         w, pair = theta[:WIDTH], theta[WIDTH:].reshape(2, 2)
         grad = np.zeros_like(theta)
-        for k, g in groups:
-            part = x[lines[k]]
+        for k, part in enumerate(lines):
             good = part @ w
             marginal, expected, _ = forward_backward(np.stack([np.zeros(len(good)), good], 1), pair, firsts[k])
             seen = np.zeros((2, 2))
-            seen[k, k] = len(part) - len(g)
+            seen[k, k] = len(part) - (len(firsts[k]) - 1)
             weight = 0.5 / share[k]
             grad[:WIDTH] -= weight * (part.T @ (k - marginal[:, 1]))
             grad[WIDTH:] -= weight * (seen - expected).ravel()
