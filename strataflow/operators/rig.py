@@ -29,14 +29,42 @@ class RigRules:
     npt_seconds: int = 1800
 
 
-def motion(samples: DataFrame, key: str = "wellbore_uid", rules: RigRules = RigRules()) -> DataFrame:
-    """Samples with bit ``rate`` (m/s to the sample before) and block ``travel`` over the last minutes."""
-    ordered = Window.partitionBy(key).orderBy("ts")
-    frame = Window.partitionBy(key).orderBy(micros("ts")).rangeBetween(minutes_preceding(rules.frame_minutes), 0)
-    seconds = F.coalesce(seconds_between(F.lag("ts").over(ordered), "ts"), F.lit(0))
-    rate = F.when(seconds == 0, F.lit(0.0)).otherwise((F.col("bit_depth_m") - F.lag("bit_depth_m").over(ordered)) / seconds)
+def _chunk(minutes: int) -> Column:
+    """Number of the stretch of so many minutes in which a sample lies."""
+    return F.floor(micros("ts") / (minutes * 60_000_000)).cast("long")
+
+
+def motion(samples: DataFrame, key: str = "wellbore_uid", rules: RigRules = RigRules(), chunk_minutes: int | None = None) -> DataFrame:
+    """Samples with bit ``rate`` (m/s to the sample before) and block ``travel`` over the last minutes.
+
+    Where single wellbores hold a large share of all samples, ``chunk_minutes`` cuts their time into
+    stretches that tasks work on apart: the end of each goes along with the next for the frame, and
+    the last sample of each is looked up for the first of the next. The result is the same.
+    """
+    by = [key]
+    if chunk_minutes is not None:
+        if chunk_minutes < rules.frame_minutes:
+            raise ValueError("a stretch must not be shorter than the frame")
+        length, frame = chunk_minutes * 60_000_000, rules.frame_minutes * 60_000_000
+        own = _chunk(chunk_minutes)
+        lasts = samples.groupBy(key, own.alias("_chunk")).agg(F.max("ts").alias("_last_ts"), F.max_by("bit_depth_m", "ts").alias("_last_bit"))
+        earlier = Window.partitionBy(key).orderBy("_chunk")
+        lasts = lasts.select(key, "_chunk", F.lag("_last_ts").over(earlier).alias("_last_ts"), F.lag("_last_bit").over(earlier).alias("_last_bit"))
+        near_end = F.pmod(micros("ts"), F.lit(length)) >= length - frame
+        samples = samples.withColumn("_own", own).withColumn("_chunk", F.explode(F.when(near_end, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+        by = [key, "_chunk"]
+    ordered = Window.partitionBy(*by).orderBy("ts")
+    frame = Window.partitionBy(*by).orderBy(micros("ts")).rangeBetween(minutes_preceding(rules.frame_minutes), 0)
     travel = F.max("block_position_m").over(frame) - F.min("block_position_m").over(frame)
-    return samples.withColumns({"rate": F.coalesce(rate, F.lit(0.0)), "travel": F.coalesce(travel, F.lit(0.0))})
+    rows = samples.withColumns({"_before_ts": F.lag("ts").over(ordered), "_before_bit": F.lag("bit_depth_m").over(ordered), "travel": F.coalesce(travel, F.lit(0.0))})
+    if chunk_minutes is not None:
+        rows = rows.where("_own = _chunk").join(lasts, [key, "_chunk"], "left")
+        alone = F.col("_before_ts").isNull()
+        rows = rows.withColumns({"_before_bit": F.when(alone, F.col("_last_bit")).otherwise(F.col("_before_bit")), "_before_ts": F.coalesce("_before_ts", "_last_ts")})
+        rows = rows.drop("_own", "_chunk", "_last_ts", "_last_bit")
+    seconds = F.coalesce(seconds_between("_before_ts", "ts"), F.lit(0))
+    rate = F.when(seconds == 0, F.lit(0.0)).otherwise((F.col("bit_depth_m") - F.col("_before_bit")) / seconds)
+    return rows.withColumn("rate", F.coalesce(rate, F.lit(0.0))).drop("_before_ts", "_before_bit")
 
 
 def state_of(rules: RigRules = RigRules()) -> Column:
@@ -54,23 +82,22 @@ def state_of(rules: RigRules = RigRules()) -> Column:
     )
 
 
-def rig_states(samples: DataFrame, key: str = "wellbore_uid", rules: RigRules = RigRules()) -> DataFrame:
-    return motion(samples, key, rules).withColumn("state", state_of(rules))
+def rig_states(samples: DataFrame, key: str = "wellbore_uid", rules: RigRules = RigRules(), chunk_minutes: int | None = None) -> DataFrame:
+    return motion(samples, key, rules, chunk_minutes).withColumn("state", state_of(rules))
 
 
-def state_spans(samples: DataFrame, key: str = "wellbore_uid", rules: RigRules = RigRules()) -> DataFrame:
+def state_spans(samples: DataFrame, key: str = "wellbore_uid", rules: RigRules = RigRules(), chunk_minutes: int | None = None) -> DataFrame:
     """Runs of a state with depths, whole seconds and whether they are non-productive.
 
     depth_from and depth_to are least and greatest bit depth; first_depth and last_depth those of the
     first and last sample.
     """
-    measures = {
-        "depth_from": F.min("bit_depth_m"),
-        "depth_to": F.max("bit_depth_m"),
-        "first_depth": F.min_by("bit_depth_m", "ts"),
-        "last_depth": F.max_by("bit_depth_m", "ts"),
-    }
-    runs = spans(rig_states(samples, key, rules), key, "ts", "state", measures)
+    bit = "bit_depth_m"
+    measures = {"depth_from": (bit, "min"), "depth_to": (bit, "max"), "first_depth": (bit, "first"), "last_depth": (bit, "last")}
+    states = rig_states(samples, key, rules, chunk_minutes)
+    if chunk_minutes is not None:
+        states = states.withColumn("_chunk", _chunk(chunk_minutes))
+    runs = spans(states, key, "ts", "state", measures, None if chunk_minutes is None else "_chunk")
     seconds = seconds_between("started_at", "ended_at")
     return runs.withColumns({"duration_s": seconds, "is_npt": (F.col("state") == "STATIC") & (seconds > rules.npt_seconds)})
 

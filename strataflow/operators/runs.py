@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,11 +44,31 @@ def spikes(df: DataFrame, key: str, order: str, value: str, times: float = 5.0)
     return df.withColumn("_step", step).withColumn("_spread", spread).where(F.col("_step") > times * F.col("_spread")).drop("_step", "_spread")
 
 
-def spans(df: DataFrame, key: str, order: str, state: str, measures: dict[str, Column]) -> DataFrame:
-    """One row per run: key, state, started_at, ended_at, samples and the measures, numbered by state_seq."""
-    rows = islands(df, key, order, state, "_island")
-    runs = rows.groupBy(key, state, "_island").agg(
-        F.min(order).alias("started_at"), F.max(order).alias("ended_at"), F.count("*").alias("samples"), *[c.alias(n) for n, c in measures.items()]
-    )
+_AGGREGATES = {
+    "min": lambda c, order: F.min(c),
+    "max": lambda c, order: F.max(c),
+    "sum": lambda c, order: F.sum(c),
+    "first": lambda c, order: F.min_by(c, order),
+    "last": lambda c, order: F.max_by(c, order),
+}
+
+
+def spans(df: DataFrame, key: str, order: str, state: str, measures: dict[str, tuple[str, str]], chunk: str | None = None) -> DataFrame:
+    """One row per run: key, state, started_at, ended_at, samples and the measures, numbered by state_seq.
+
+    A measure is a column and how its values go together: min, max, sum, first or last. With ``chunk``,
+    a column that cuts the order into stretches, runs are put together within (key, chunk) first and
+    joined across chunks after, so that no task gets all rows of a large key.
+    """
+    by = [key] if chunk is None else [key, chunk]
+    whole = Window.partitionBy(*by).orderBy(F.col(order).asc_nulls_last())
+    same = Window.partitionBy(*by, state).orderBy(F.col(order).asc_nulls_last())
+    rows = df.withColumn("_island", F.row_number().over(whole) - F.row_number().over(same))
+    found = [_AGGREGATES[how](c, order).alias(n) for n, (c, how) in measures.items()]
+    runs = rows.groupBy(*by, state, "_island").agg(F.min(order).alias("started_at"), F.max(order).alias("ended_at"), F.count("*").alias("samples"), *found)
+    if chunk is not None:
+        rows = islands(runs.drop("_island"), key, "started_at", state, "_island")
+        again = [_AGGREGATES[how](n, "started_at").alias(n) for n, (_, how) in measures.items()]
+        runs = rows.groupBy(key, state, "_island").agg(F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"), F.sum("samples").alias("samples"), *again)
     sequence = F.row_number().over(Window.partitionBy(key).orderBy("started_at"))
     return runs.withColumn("state_seq", sequence).drop("_island")

@@ -111,6 +111,19 @@ def test_spans_cover_every_sample_once(spark, rows):
     assert [r.state_seq for r in sorted(out, key=lambda r: r.started_at)] == list(range(1, len(out) + 1))
 
 
+@pytest.mark.parametrize("minutes", [10, 37, 100_000])
+def test_rig_states_in_stretches_are_the_same(spark, minutes):
+    from strataflow.sources import fixtures
+
+    df = fixtures.telemetry(spark, samples=900, step_s=7).where("pmod(hash(ts), 5) <> 0 and not minute(ts) between 20 and 45")
+    plain, cut = rig.state_spans(df), rig.state_spans(df, chunk_minutes=minutes)
+    assert sorted(map(str, plain.select(*sorted(plain.columns)).collect())) == sorted(map(str, cut.select(*sorted(cut.columns)).collect()))
+    a, b = (x.select("ts", "rate", "travel", "state").orderBy("ts").collect() for x in (rig.rig_states(df), rig.rig_states(df, chunk_minutes=minutes)))
+    assert a == b
+    with pytest.raises(ValueError):
+        rig.rig_states(df, chunk_minutes=5)
+
+
 def test_efficiency_divides_by_nothing_safely(spark):
     row = rig.drilling_efficiency(rig.state_spans(telemetry(spark, [sample(0)]))).first()
     assert row.npt_pct is None and row.rop_m_per_h is None
