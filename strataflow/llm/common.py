@@ -46,13 +46,6 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def drop_written(df: DataFrame) -> None:
-    """Delete the files of a table that ``written`` made, once nothing reads it any more."""
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/strataflow/" in path:
-            remove_path(df.sparkSession, path)
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; nulls count as empty texts."""
     column = column.cast(pa.large_binary()).fill_null(b"")
