@@ -48,7 +48,7 @@ def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id"])
 
 

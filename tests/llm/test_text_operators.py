@@ -154,6 +154,37 @@ def test_bands_reject_what_the_vocabulary_cannot_read():
     assert fertility.base_counts(pa.array(texts))["scripts"].argmax(1).tolist()[-1] == fertility.SCRIPTS.index("cyrillic")
 
 
+def test_bands_tell_symbols_and_table_cells_from_clean_texts(spark):
+    folder = SF.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("quality is not null").select("doc_id", "quality")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels, "doc_id")
+    for columns in (["doc_id", "quality", "text", "lang"], ["doc_id", "quality", "text"]):
+        rows = fertility.quality_rules(docs.select(*columns), MODEL, carry=["doc_id", "quality"]).where("not base_failed").collect()
+        bad, good = [r.kept for r in rows if r.quality == 0], [r.kept for r in rows if r.quality == 1]
+        assert bad.count(False) >= (0.8 if "lang" in columns else 0.3) * len(bad) > 0
+        assert good.count(True) >= 0.92 * len(good) > 0
+
+
+def test_bands_reject_a_clean_text_once_it_is_dressed_as_symbols_or_cells(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").select("doc_id", "text", "lang")
+    clean = fertility.quality_rules(docs, MODEL).where("kept and n_tokens >= 400").orderBy("doc_id").limit(20).collect()
+    rows = []
+    for r in clean:
+        w = r.text.split()
+        rows += [(r.doc_id, "symbols", " ".join(x + ("%%%", "$$$", "&&&")[k % 3] for k, x in enumerate(w)), "en"), (r.doc_id, "cells", " | ".join(w), "en")]
+    out = fertility.quality_rules(spark.createDataFrame(rows, "doc_id long, kind string, text string, lang string"), MODEL).collect()
+    kept = Counter(r.kind for r in out if r.kept)
+    assert len(out) == 2 * len(clean) > 0 and not kept["symbols"] and kept["cells"] <= 0.15 * len(clean)
+
+
+def test_longer_texts_need_no_more_bits(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").select("doc_id", "text", "lang")
+    clean = [r.text for r in fertility.quality_rules(docs, MODEL).where("kept").orderBy("doc_id").collect()]
+    joined = spark.createDataFrame([("\n".join(clean), "en")], "text string, lang string")
+    out = fertility.quality_rules(joined, MODEL).first()
+    assert out.n_tokens > 2 * fertility.FULL and out.chars_per_token > 2.476 and (out.base_failed or out.kept)
+
+
 def test_token_figures_of_long_texts_are_of_the_whole():
     from llm_support import prose
 
