@@ -23,9 +23,7 @@ from strataflow.llm.common import remove_path, scratch_path, written
 
 MAGIC = "WARC/1."
 END = "\r\n\r\n"
-#: Characters of a header at most.
-HEADER = 1 << 16
-_LENGTH = re.compile(r"(?i)\r\nContent-Length:[ \t]*(\d{1,18})[ \t]*(?:\r\n|$)")
+_LENGTH = r"(?i)\r\nContent-Length:[ \t]*([0-9]{1,18})[ \t]*\r\n"
 #: Blocks whose entry points are broadcast at a time; more are read in several scans.
 BLOCKS_AT_ONCE = 50_000
 
@@ -82,8 +80,10 @@ def _pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def _blocks(pieces: DataFrame) -> DataFrame:
     """A row per block: its bytes, and places of its candidates and their successors from its first piece on."""
     header = F.substring_index("value", END, 1)
-    size = F.octet_length("value")
-    heads = pieces.select("file", "block", size.cast("long").alias("size"), F.octet_length(header).cast("long").alias("ends"), F.substring(header, 1, HEADER).alias("head"))
+    size, ends = F.octet_length("value").cast("long"), F.octet_length(header).cast("long")
+    # Searched here, in the whole header: only the number goes to Python, however long the other fields are.
+    length = F.regexp_extract(F.concat(header, F.when(ends < size, "\r\n").otherwise(MAGIC)), _LENGTH, 1).try_cast("long")
+    heads = pieces.select("file", "block", size.alias("size"), ends.alias("ends"), F.substring("value", 1, 3).isin("0\r\n", "1\r\n").alias("starts"), length.alias("length"))
 
     def gather(batches):
         key, begins, nexts, at, pending = None, [], [], 0, None
@@ -95,21 +95,19 @@ def _blocks(pieces: DataFrame) -> DataFrame:
             )
 
         for batch in batches:
-            for file, block, size, ends, head in zip(*(c.to_pylist() for c in batch.columns)):
+            for file, block, size, ends, starts, length in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != (file, block):
                     if key is not None:
                         yield row()
                     key, begins, nexts, at, pending = (file, block), [], [], 0, None
-                if (block or at) and head[:3] in ("0\r\n", "1\r\n"):
-                    pending = (at - len(MAGIC), head)
-                elif pending is not None:  # a header that holds the magic word goes on in the next piece
-                    pending = (pending[0], pending[1] + MAGIC + head)
+                if (block or at) and starts:
+                    pending = (at - len(MAGIC), length)
+                elif pending is not None and pending[1] is None:  # a header that holds the magic word goes on in the next piece
+                    pending = (pending[0], length)
                 if pending is not None and ends < size:
-                    if length := _LENGTH.search(pending[1]):
+                    if pending[1] is not None:
                         begins.append(pending[0])
-                        nexts.append(at + ends + len(END) + int(length[1]) + len(END))
-                    pending = None
-                elif pending is not None and len(pending[1]) > HEADER:
+                        nexts.append(at + ends + len(END) + pending[1] + len(END))
                     pending = None
                 at += size + len(MAGIC)
         if key is not None:

@@ -63,6 +63,28 @@ def test_only_reachable_records_count(spark, tmp_path):
     assert got == [("a.warc", inner), ("a.warc", "two"), ("c.warc", "bro"), ("c.warc", "ok")]
 
 
+def test_headers_may_be_longer_than_blocks(spark):
+    rows = [(k, f"data:{k}," + "u" * 100_000 if k % 7 == 3 else f"http://a/{k}", f"{k} " + "text\r\n\r\n" * 300) for k in range(60)]
+    rows += [(100, "data:," + "WARC/1.1" * 20_000, "magic words in a long url"), (101, None, "after it")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        out = warc.warc_round_trip(pages).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in out) == expected_pages(rows)
+
+
+def test_a_foreign_header_may_be_long_and_hold_magic_words(spark, tmp_path):
+    record = lambda body, uri: f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: {uri}\r\nContent-Length: {len(body)}\r\n\r\n{body}\r\n\r\n"
+    bodies = ["one", "two", "three"]
+    (tmp_path / "a.warc").write_bytes("".join(map(record, bodies, ["u" * 100_000, "WARC/1.0" * 20_000, "u"])).encode())
+    assert sorted(bytes(r.block).decode() for r in warc.read_warc(spark, str(tmp_path)).collect()) == sorted(bodies)
+
+
 def test_blocks_may_be_read_in_groups(spark, tmp_path):
     pages = spark.createDataFrame(page_rows(), "page_id long, url string, html string").repartition(5)
     warc.write_warc(warc.with_revisits(pages), str(tmp_path / "w"))
