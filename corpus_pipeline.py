@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strataflow.llm.bpe import codec_digests
 from strataflow.llm.common import written
 from strataflow.llm.crf import score_quality, train_quality
 from strataflow.llm.fertility import quality_rules
-from strataflow.llm.jaccard import near_duplicates
+from strataflow.llm.jaccard import class_survivors
 from strataflow.llm.winnow import contamination
 
 
@@ -29,11 +30,15 @@ def token_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the least id; rows without an id stay."""
-    found = near_duplicates(docs)
-    first = found.where("doc_id = class_id").select("doc_id").distinct()
+    """Of each class of near duplicates the document with the least id; rows without an id stay.
+
+    Different texts of one id count as documents of their own.
+    """
+    key = ["doc_id", "_text_digest"]
+    digested = docs.withColumn("_text_digest", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    kept = digested.join(class_survivors(digested), key, "left_semi").dropDuplicates(key)
     unnamed = docs.where("doc_id is null")
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(unnamed)
+    return kept.select(docs.columns).unionByName(unnamed)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,7 +84,8 @@ def _digest(shingles: np.ndarray, text: str) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
-    """doc_id, k1, k2 (keys of the text's set) and bands (none for a text without words)."""
+    """doc_id, k1, k2 (keys of the text's set) and bands (none for a text without words); _text_digest, if ``docs`` has it."""
+    carried = [c for c in ("doc_id", "_text_digest") if c in docs.columns]
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column("text"))
@@ -92,11 +93,12 @@ def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
         bands = banding.of(sets).view(np.int64)
         lists = [row if len(x) else row[:0] for x, row in zip(sets, bands)]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-            ["doc_id", "k1", "k2", "bands"],
+            [*(batch.column(c) for c in carried), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
+            [*carried, "k1", "k2", "bands"],
         )
 
-    return map_slices(docs.select("doc_id", "text"), "text", sign, "doc_id long, k1 long, k2 long, bands array<long>")
+    kinds = {"doc_id": "doc_id long, ", "_text_digest": "_text_digest string, "}
+    return map_slices(docs.select(*carried, "text"), "text", sign, "".join(kinds[c] for c in carried) + "k1 long, k2 long, bands array<long>")
 
 
 def _memberships(nodes: DataFrame) -> DataFrame:
@@ -248,15 +250,31 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (4, 5), rows:
     without words (null as empty) are only alike if equal. A text that only rows without an id have
     is not compared, and its class is null. Repeated rows are copies of each other.
     """
+    signed, known = _classed(docs.select("doc_id", "text"), threshold, rows, recall)
+    return signed.select("doc_id", "k1", "k2").join(known.drop("label"), ["k1", "k2"]).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def class_survivors(docs: DataFrame, threshold: tuple[int, int] = (4, 5), rows: int = 5, recall: float = 0.998) -> DataFrame:
+    """(doc_id, _text_digest) of one text of each class of ``near_duplicates``: that of the least id, then the least digest.
+
+    Ids may repeat with different texts, which are in classes of their own. ``docs`` has doc_id, text
+    and _text_digest. Rows without an id don't count.
+    """
+    signed, known = _classed(docs.select("doc_id", "text", "_text_digest"), threshold, rows, recall)
+    found = signed.where("doc_id is not null").select("doc_id", "_text_digest", "k1", "k2").join(known.select("k1", "k2", "label"), ["k1", "k2"])
+    return found.groupBy("label").agg(F.min(F.struct("doc_id", "_text_digest")).alias("first")).select("first.*")
+
+
+def _classed(docs: DataFrame, threshold: tuple[int, int], rows: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and k1, k2, label, class_id, n_copies, n_links of each set; a class is a label."""
     banding = Banding(choose_bands(threshold[0] / threshold[1], rows, recall), rows)
-    docs = docs.select("doc_id", "text")
     signed = written(signatures(docs, banding), "jaccard-signed")
     nodes = written(signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "jaccard-nodes")
     links = written(_links(_memberships(nodes), docs, banding, (threshold[0], threshold[1])), "jaccard-links")
-    return _classes(signed, nodes, links)
+    return signed, _classes(nodes, links)
 
 
-def _classes(signed: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+def _classes(nodes: DataFrame, links: DataFrame) -> DataFrame:
     counts = links.groupBy("node").agg(F.sum("documents").alias("linked"))
     comps = links.select(F.xxhash64("tile", "root").alias("comp"), "node")
     labels = merge_components(comps)
@@ -264,5 +282,4 @@ def _classes(signed: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame
     known = plain.join(labels.withColumnRenamed("node", "k1"), "k1", "left").withColumn("label", F.coalesce("label", "k1"))
     known = written(known.join(counts.withColumnRenamed("node", "k1"), "k1", "left"), "jaccard-known")
     least = known.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    known = known.join(least, "label").select("k1", "k2", "class_id", (F.col("copies") - 1).alias("n_copies"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
-    return signed.select("doc_id", "k1", "k2").join(known, ["k1", "k2"]).select("doc_id", "class_id", "n_links", "n_copies")
+    return known.join(least, "label").select("k1", "k2", "label", "class_id", (F.col("copies") - 1).alias("n_copies"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))

@@ -30,6 +30,18 @@ def test_stages_keep_columns_and_only_drop(spark):
     assert corpus_pipeline.run(spark, SF).count() == docs.count()
 
 
+def test_texts_that_share_an_id_are_told_apart(spark):
+    from llm_support import prose
+
+    near = prose(21, 200)
+    rows = [(1, near), (2, prose(22, 200)), (2, near + " end"), (2, prose(23, 200)), (2, prose(23, 200)), (3, prose(24, 200)), (3, prose(25, 200)), (4, prose(23, 200) + " end"), (None, near)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string").repartition(3)
+    out = corpus_pipeline.one_of_each_class(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text) for r in out.collect())
+    assert got == sorted([("1", near), ("2", prose(22, 200)), ("2", prose(23, 200)), ("3", prose(24, 200)), ("3", prose(25, 200)), ("None", near)])
+
+
 def test_stages_take_odd_documents(spark, odd_docs, no_docs):
     for docs in (odd_docs.drop("ids", "score", "n_words", "hit_words", "kept"), odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES:
