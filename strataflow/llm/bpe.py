@@ -20,10 +20,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from strataflow.llm.common import extend, safe_pieces
+from strataflow.llm.common import Memo, extend, safe_pieces
 
-#: Encoded words a worker keeps; beyond that it starts afresh.
-MEMO = 400_000
+#: Answers on neighbouring tokens that a worker keeps, of a fixed size each; beyond that it starts afresh.
+ANSWERS = 1_500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,7 +43,7 @@ class BytePairCodec:
         self.halves: dict[int, tuple[int, int]] = {}
         self.joined: dict[tuple[int, int], int] = {}
         self.fits: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = Memo(lambda words: [np.array(self.encode_word(word.encode()), "<u4").tobytes() for word in words], 96 << 20)
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.shorter[rank] = next((r for n in range(len(token) - 1, 0, -1) if (r := ranks.get(token[:n])) is not None), -1)
@@ -70,7 +70,7 @@ class BytePairCodec:
     def compatible(self, left: int, right: int) -> bool:
         known = self.fits.get((left, right))
         if known is None:
-            if len(self.fits) >= 4 * MEMO:
+            if len(self.fits) >= ANSWERS:
                 self.fits.clear()
             known = self.fits[left, right] = self._compatible(left, right)
         return known
@@ -132,12 +132,7 @@ class BytePairCodec:
         memo, out = self.words, []
         for piece in safe_pieces(text, 1 << 20):
             found = self.split_words(piece)
-            new = {word for word in found if word not in memo}
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = set(found)
-            for word in new:
-                memo[word] = np.array(self.encode_word(word.encode()), "<u4").tobytes()
+            memo.know(set(found))
             out.append(b"".join(map(memo.__getitem__, found)))
         return b"".join(out)
 
@@ -156,7 +151,9 @@ def load_codec(path: str, pattern: str) -> BytePairCodec:
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``docs`` with ``ids`` (binary: little-endian unsigned 32-bit ids of the text) added.
 
-    Null texts encode to no ids. Columns of ``docs`` stay, an own ``ids`` column is replaced.
+    Null and empty texts encode to no ids; very long ones are encoded piece by piece, to the same ids.
+    Repeated rows each give a row. Columns of ``docs`` stay, an own ``ids`` column is replaced. An
+    empty table gives no rows.
     """
 
     def encode(batch: pa.RecordBatch):
@@ -169,8 +166,9 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
 def codec_digests(docs: DataFrame, ranks_path: str, pattern: str, carry: list[str] | None = None, with_ids: bool = False) -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 and decoded_sha256: encodes, then decodes the ids.
 
-    Null and empty texts have no tokens and the digests of no bytes. Repeated rows each give a row,
-    null ids stay null. Only the columns that ``carry`` names stay, all unless it is given; ``ids``
+    Null and empty texts have no tokens and the digests of no bytes; very long ones are encoded piece
+    by piece, to the same ids. Repeated rows each give a row, ties don't matter, null ids stay null,
+    columns with the added names are replaced, an empty table gives no rows. Only the columns that ``carry`` names stay, all unless it is given; ``ids``
     comes along if asked for. A narrow map, no shuffle.
     """
 

@@ -20,9 +20,11 @@ U64 = np.uint64
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder of the session; a temporary one of our own only where none is set."""
+    """The shared folder of the session; a temporary one of our own only where none is set and all runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="strataflow-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -32,9 +34,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/strataflow/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again: cuts the lineage."""
-    spark = df.sparkSession
+def written(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read again, by ``spark`` if given: cuts the lineage."""
+    spark = spark or df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -95,6 +97,32 @@ def map_slices(df: DataFrame, column: str, make: Callable[[pa.RecordBatch], pa.R
     return spread(df).mapInArrow(run, schema)
 
 
+class Memo(dict):
+    """What a worker remembers of each word, as bytes; it starts afresh before it holds over ``limit`` bytes.
+
+    The estimate counts a word as four bytes a character and its ids as no more than that, besides
+    what Python needs for two objects and their entry.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], list[bytes]], limit: int = 192 << 20):
+        super().__init__()
+        self.learn, self.limit, self.held, self.once = learn, limit, 0, []
+
+    def know(self, words: set[str], longest: int = 1024) -> None:
+        """Have all of ``words``, the new ones learnt together; those over ``longest`` characters until the next call only."""
+        for word in self.once:
+            del self[word]
+        new = words.difference(self)
+        cost = lambda: sum(map(len, new)) * 8 + 200 * len(new)
+        if self.held + cost() > self.limit:
+            self.clear()
+            self.held, new = 0, words
+        listed = list(new)
+        self.update(zip(listed, self.learn(listed)) if listed else ())
+        self.once = [word for word in listed if len(word) > longest]
+        self.held += cost() - sum(8 * len(word) + 200 for word in self.once)
+
+
 class WordKind:
     """Which bytes of UTF-8 belong to words, and what a byte counts as."""
 

@@ -25,12 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import remove_path, scratch_path, slices, written
+from strataflow.llm.common import Memo, remove_path, scratch_path, slices, written
 from strataflow.llm.tokens import load_tokenizer
 
 MAGIC = b"ARROW1"
-#: Encoded words a worker keeps; beyond that it starts afresh.
-MEMO = 1_000_000
+#: Parts of a dataset whose bases are added up in one task; there are as many tasks, and a level of sums above them.
+PARTS = 1024
 #: Letters, numbers and white space among the characters on whose kinds all Unicode tables agree.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏΑ-ΡΣ-ωЀ-џ"
 NUMBERS = "0-9²³¹¼-¾"
@@ -61,17 +61,17 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose text begins with a space
         self.opens[[k for token, k in vocabulary.items() if token[0] == "Ġ"]] = True
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(self._learn)
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Encode words new to the memo. Those of a space and letters stay words when joined, and only
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of words. Those of a space and letters stay words when joined, and only
         their first ids begin with a space: one call serves many, and its ids fall apart at those."""
         joined = [word for word in words if self.spaced(word)]
-        rest = list(words.difference(joined))
-        self.memo.update(zip(rest, self._direct(rest)))
+        rest = list(set(words).difference(joined))
+        found = dict(zip(rest, self._direct(rest)))
         for k in range(0, len(joined), 4096):
             part = joined[k : k + 4096]
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
@@ -79,7 +79,8 @@ class WordEncoder:
             cuts = [*(np.flatnonzero(self.opens[ids]) * self.width).tolist(), len(packed)]
             if len(cuts) != len(part) + 1:
                 raise ValueError("the vocabulary doesn't keep words apart")
-            self.memo.update(zip(part, map(packed.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
+            found.update(zip(part, map(packed.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
+        return list(map(found.__getitem__, words))
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian."""
@@ -88,11 +89,7 @@ class WordEncoder:
             usual = self.plain and self.settled(text) and not any(x in text for x in self.special)
             found.append(self.find(text) if usual else None)
         known = self.memo
-        new = set().union(*(x for x in found if x)).difference(known)
-        if len(known) + len(new) > MEMO:
-            known.clear()
-            new = set().union(*(x for x in found if x))
-        self._learn(new)
+        known.know(set().union(*(x for x in found if x)))
         return [self._direct([text])[0] if words is None else b"".join(map(known.__getitem__, words)) for text, words in zip(texts, found)]
 
 
@@ -158,8 +155,10 @@ class SequenceFile:
 def write_sequences(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, length: int = 2048, file_tokens: int = 4 << 20) -> None:
     """Encode ``docs`` in ascending doc_id order, each with ``end_id`` after it, into Arrow files.
 
-    Null ids come first; rows of equal id are ordered by their text. Null texts have the end id alone.
-    One range shuffle on doc_id; a task holds one file of about ``file_tokens`` ids at a time.
+    Null ids come first; rows of equal id are ordered by their text, repeated rows stay. Null and empty
+    texts have the end id alone; a very long text is one document in one file. An empty table gives a
+    folder without files. Other columns, of whatever names, are ignored. One range shuffle on doc_id;
+    a task holds one file of about ``file_tokens`` ids at a time.
     """
 
     def encode(batches):
@@ -215,22 +214,30 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
 def sequence_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32, from the files alone.
 
-    Starts add up in two steps: within a file by its own documents, between files by one small
-    window over file totals, a row per file.
+    Starts add up level by level: documents within their file, files within their task's part, parts
+    within groups of PARTS, and last the groups, of which there is one for thousands of files. Each
+    level's sums are small enough for the windows of the next, and none sees all files.
     """
     from pyspark.sql import Window
 
-    docs = written(read_sequences(spark, path), "sequence-index")
-    inside = Window.partitionBy("part", "seq").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    between = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    bases = docs.groupBy("part", "seq").agg(F.sum("n_tokens").alias("total")).withColumn("base", F.coalesce(F.sum("total").over(between), F.lit(0)))
-    local = docs.withColumn("local", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    joined = local.join(bases.select("part", "seq", "base"), ["part", "seq"])
-    return joined.select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
+    def running(rows: DataFrame, within: list[str], order: str, size: str, name: str) -> DataFrame:
+        before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(name, F.coalesce(F.sum(size).over(before), F.lit(0)))
+
+    docs = running(written(read_sequences(spark, path), "sequence-index"), ["part", "seq"], "position", "n_tokens", "in_file")
+    files = written(docs.groupBy("part", "seq").agg(F.sum("n_tokens").alias("size")).withColumn("group", F.floor(F.col("part") / PARTS)), "sequence-files")
+    parts = files.groupBy("group", "part").agg(F.sum("size").alias("size"))
+    groups = running(parts.groupBy("group").agg(F.sum("size").alias("size")), [], "group", "size", "in_all").drop("size")
+    bases = running(files, ["part"], "seq", "size", "in_part").join(running(parts, ["group"], "part", "size", "in_group").drop("size", "group"), "part").join(groups, "group")
+    joined = docs.join(bases.select("part", "seq", (F.col("in_all") + F.col("in_group") + F.col("in_part")).alias("base")), ["part", "seq"])
+    return joined.select("doc_id", (F.col("base") + F.col("in_file")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def sequence_round_trip(docs: DataFrame, tokenizer_path: str, end_id: int = 2, length: int = 2048) -> DataFrame:
-    """Write ``docs`` as sequences to the shared folder and give the index read back from the files."""
+    """Write ``docs`` as sequences to the shared folder and give the index read back from the files.
+
+    Nulls, empty and very long texts, ties, repeated rows and other columns: as in ``write_sequences``.
+    """
     path = scratch_path(docs.sparkSession, "sequences")
     write_sequences(docs, tokenizer_path, path, end_id, length)
     index = sequence_index(docs.sparkSession, path)
