@@ -5,6 +5,7 @@ Batches go through the tokenizer's own library; only lengths leave the Python wo
 
 from __future__ import annotations
 
+import heapq
 import os
 from functools import lru_cache
 
@@ -31,8 +32,22 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
-def lengths(path: str, texts: list[str], batch_chars: int = 1 << 18) -> np.ndarray:
-    """Tokens of each text. Batches are filled by size; long texts are cut at safe places first."""
+def balanced(sizes: list[int], limit: int) -> list[list[int]]:
+    """Places of ``sizes`` in batches of nearly equal sums, about ``limit`` each: the largest first, each to the emptiest batch."""
+    count = max(1, -(-sum(sizes) // limit))
+    if count == 1:
+        return [list(range(len(sizes)))]
+    out: list[list[int]] = [[] for _ in range(count)]
+    room = [(0, k) for k in range(count)]
+    for at in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+        held, k = room[0]
+        out[k].append(at)
+        heapq.heapreplace(room, (held + sizes[at], k))
+    return [x for x in out if x]
+
+
+def lengths(path: str, texts: list[str], batch_bytes: int = 1 << 18) -> np.ndarray:
+    """Tokens of each text. Long texts are cut at safe places, and all pieces dealt to batches of equal bytes."""
     tokenizer = load_tokenizer(path)
     out = np.zeros(len(texts), np.int64)
     if path.endswith(".model"):
@@ -42,21 +57,12 @@ def lengths(path: str, texts: list[str], batch_chars: int = 1 << 18) -> np.ndarr
         encode = lambda pieces: map(len, tokenizer.encode_batch_fast(pieces, add_special_tokens=False))
         plain = type(tokenizer.pre_tokenizer).__name__ == "ByteLevel" and tokenizer.normalizer is None
         cut = safe_pieces if plain else lambda text: [text]
-    pieces, owner, held = [], [], 0
-
-    def flush():
-        np.add.at(out, owner, np.fromiter(encode(pieces), np.int64, len(pieces)))
-
-    for k, text in enumerate(texts):
-        for piece in cut(text):
-            pieces.append(piece)
-            owner.append(k)
-            held += len(piece)
-            if held >= batch_chars:
-                flush()
-                pieces, owner, held = [], [], 0
-    if pieces:
-        flush()
+    found = [(k, piece) for k, text in enumerate(texts) for piece in cut(text)]
+    owner = np.array([k for k, _ in found], np.int64)
+    sizes = [len(piece) if piece.isascii() else len(piece.encode()) for _, piece in found]
+    for batch in balanced(sizes, batch_bytes):
+        pieces = [found[k][1] for k in batch]
+        np.add.at(out, owner[batch], np.fromiter(encode(pieces), np.int64, len(pieces)))
     return out
 
 
@@ -64,7 +70,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512) -> Data
     """One row for each row of ``docs``: doc_id, n_bytes, n_tokens, over_limit.
 
     Null texts count as empty (0 bytes, 0 tokens, not over the limit); null ids stay null; repeated
-    rows each give a row; other columns are ignored. No shuffle: a narrow map over the scan.
+    rows each give a row, ties don't matter; other columns, of whatever names, are ignored; an empty
+    table gives no rows. Very long texts are counted whole, piece by piece under byte-level
+    vocabularies, in one call under others. No shuffle: a narrow map over the scan.
     """
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
