@@ -68,11 +68,19 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z")
     pages.select(record.alias("value")).write.option("lineSep", END).text(path)
 
 
+def _fixed_cuts(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` in which every scan cuts files alike, even if executors come or go."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    if own.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        own.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return own
+
+
 def _pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """What stands between magic words, in file order within each block that a task reads."""
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        # Both scans must cut files alike, even if executors come or go between them.
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     text = spark.read.option("lineSep", MAGIC).text(paths)
     return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
@@ -155,24 +163,25 @@ def _entries(blocks: DataFrame) -> DataFrame:
 
 
 def _plan(blocks: DataFrame) -> DataFrame:
-    """Blocks with their entry, the last record that begins in an earlier block of the file, and whether
-    their own last record ends in a later one."""
+    """Blocks with their entry, the last record that begins in an earlier block of the file, whether
+    their own last record ends in a later one, and where the chain of their last record goes on."""
     joined = blocks.join(_entries(blocks), ["file", "block"], "left")
 
     def last(batches):
         for batch in batches:
             rows = batch.to_pylist()
-            lasts, cut = [], []
+            lasts, cut, stops = [], [], []
             for row in rows:
                 follow, at, seen = dict(zip(row["begins"], row["nexts"])), None if row["entry"] is None else row["entry"] - row["base"], None
                 while at in follow:
                     seen, at = at, follow[at]
                 lasts.append(None if seen is None else seen + row["base"])
                 cut.append(seen is not None and at > row["span"] - len(MAGIC))
-            columns = [*(batch.column(c) for c in ("file", "block", "base", "entry")), pa.array(lasts, pa.int64()), pa.array(cut, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, ["file", "block", "base", "entry", "last", "cut"])
+                stops.append(None if seen is None else at + row["base"])
+            columns = [*(batch.column(c) for c in ("file", "block", "span", "base", "entry")), pa.array(lasts, pa.int64()), pa.array(cut, pa.bool_()), pa.array(stops, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["file", "block", "span", "base", "entry", "last", "cut", "stop"])
 
-    lasts = joined.mapInArrow(last, "file string, block long, base long, entry long, last long, cut boolean")
+    lasts = joined.mapInArrow(last, "file string, block long, span long, base long, entry long, last long, cut boolean, stop long")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     return lasts.withColumn("open", F.last("last", ignorenulls=True).over(before)).drop("last")
 
@@ -242,14 +251,28 @@ def _assemble(batches):
         yield flush()
 
 
-def read_warc(spark: SparkSession, path: str, blocks_at_once: int = BLOCKS_AT_ONCE) -> DataFrame:
+def broken_chains(plan: DataFrame) -> DataFrame:
+    """(file, offset): files whose chain of records doesn't reach their end, and where it stops; the terminator of the last record may be missing."""
+    ends = plan.groupBy("file").agg(F.max(F.col("base") + F.col("span")).alias("end"), F.coalesce(F.max("stop"), F.lit(0)).alias("offset"))
+    return ends.where(F.abs(F.col("end") - len(MAGIC) - F.col("offset")) > len(END)).select("file", "offset")
+
+
+def read_warc(spark: SparkSession, path: str, blocks_at_once: int = BLOCKS_AT_ONCE, broken: str = "keep") -> DataFrame:
     """file, offset, record_type, record_id, refers_to, target_uri, payload_digest, block of each record.
 
     Uncompressed archives of versions 1.0 and 1.1. A file that doesn't begin with a record gives
-    none; where a chain breaks, the records before it stay. A header that holds the magic word and is
-    cut by a block's end counts as a break; ``write_warc`` makes none. Empty folders give no rows.
+    none; where a chain breaks, the records before it stay. ``broken``: "keep" says no more of that,
+    "mark" gives such a file a row of record_type ``broken`` at the place where its chain stops, and
+    "raise" raises. A header that holds the magic word and is cut by a block's end counts as a break;
+    ``write_warc`` makes none. Headers and payloads have any length, a record may be larger than a
+    block. Empty folders give no rows.
     """
+    if broken not in ("keep", "mark", "raise"):
+        raise ValueError("broken is keep, mark or raise")
+    spark = _fixed_cuts(spark)
     plan = written(_plan(written(_blocks(_pieces(spark, path)), "warc-blocks")), "warc-plan")
+    if broken == "raise" and (some := broken_chains(plan).limit(3).collect()):
+        raise ValueError("chains of records break: " + ", ".join(f"{r.file} at {r.offset}" for r in some))
     count = plan.count()
     if count <= blocks_at_once:
         scans = [(path, plan)]
@@ -264,12 +287,15 @@ def read_warc(spark: SparkSession, path: str, blocks_at_once: int = BLOCKS_AT_ON
     out = None
     for paths, part in scans:
         pieces = _pieces(spark, paths).select(F.col("value").cast("binary").alias("value"), "file", "block")
-        rows = pieces.join(F.broadcast(part.drop("cut")), ["file", "block"], "left").mapInArrow(_assemble, _RECORD)
+        rows = pieces.join(F.broadcast(part.drop("cut", "span", "stop")), ["file", "block"], "left").mapInArrow(_assemble, _RECORD)
         out = rows if out is None else out.union(rows)
     names = ["record_type", "record_id", "refers_to", "target_uri", "payload_digest"]
     first = F.col("at") == F.col("offset")
     whole = (F.col("missing") == 0) & first
     records = out.where(whole).select("file", "offset", *names, "block")
+    if broken == "mark":
+        marks = {"record_type": F.lit("broken")}
+        records = records.unionByName(broken_chains(plan).select("file", "offset", *[marks.get(n, F.lit(None).cast("string")).alias(n) for n in names], F.lit(None).cast("binary").alias("block")))
     if plan.where("cut").isEmpty():
         return records
     cut = out.where(~whole)
@@ -303,9 +329,15 @@ def payloads(records: DataFrame) -> DataFrame:
 
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:
-    """Write ``pages`` as archives to the shared folder, read them back, and give their payload figures."""
-    path = scratch_path(pages.sparkSession, "warc")
+    """Write ``pages`` as archives to the shared folder, read them back, and give their payload figures.
+
+    A row per page: repeated rows stay, null ids stay null, a null html is empty, a null url an empty
+    field; urls and payloads have any length. Other columns, of whatever names, are ignored. An empty
+    table gives no rows. A chain that broke would raise, so no page is lost silently.
+    """
+    spark = pages.sparkSession
+    path = scratch_path(spark, "warc")
     write_warc(with_revisits(pages), path)
-    result = written(payloads(read_warc(pages.sparkSession, path)), "warc-payloads")
-    remove_path(pages.sparkSession, path)
+    result = written(payloads(read_warc(spark, path, broken="raise")), "warc-payloads", spark)
+    remove_path(spark, path)
     return result
