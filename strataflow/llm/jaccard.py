@@ -2,10 +2,12 @@
 
 Texts with the same set of five-grams are one node, so copies are never expanded. Nodes that
 share a band's hash meet in a bucket; buckets with the same members in several bands are kept
-once. Every pair in a kept bucket is compared on the full sets, in tiles of at most 2 * TILE
-texts, and counted in the first band that brings it together; a tile gives each text's number of
-links and its component in the tile, never pairs. Tiles' components are merged to classes by
-contraction, which shrinks the graph each round.
+once. Every pair in a kept bucket is compared on the full sets, and counted in the first band that
+brings it together. A bucket's texts are dealt to blocks, and two blocks make a tile, which one task
+compares. A large bucket has SPREAD blocks, so that its pairs are spread over tasks and each text
+goes to SPREAD tiles; only beyond a bound in bytes or texts does it have more. A tile gives each
+text's number of links and its component in the tile, never pairs. Tiles' components are merged to
+classes by contraction, which shrinks the graph each round.
 """
 
 from __future__ import annotations
@@ -21,8 +23,12 @@ from pyspark.sql import functions as F
 from strataflow.llm.common import U64, Words, map_slices, mix, slices, text_bytes, written
 
 SHINGLE = 5
-#: Texts of a bucket that one block of a tile holds; larger buckets are cut into blocks.
-TILE = 128
+#: Texts of a bucket that a block holds before the bucket is cut, and the blocks it is cut into.
+TILE, SPREAD = 128, 8
+#: Bytes of sets and texts that a block holds at most, on average; larger buckets have more blocks.
+BLOCK_BYTES, BLOCK_TEXTS = 8 << 20, 4096
+#: Texts whose pairs are compared at a time within a tile.
+SIDE = 512
 
 
 def choose_bands(threshold: float = 0.8, rows: int = 5, recall: float = 0.998) -> int:
@@ -84,7 +90,7 @@ def _digest(shingles: np.ndarray, text: str) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
-    """doc_id, k1, k2 (keys of the text's set) and bands (none for a text without words); _text_digest, if ``docs`` has it."""
+    """doc_id, k1, k2 (keys of the text's set), grams (their number) and bands (none for a text without words); _text_digest, if ``docs`` has it."""
     carried = [c for c in ("doc_id", "_text_digest") if c in docs.columns]
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -93,130 +99,167 @@ def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
         bands = banding.of(sets).view(np.int64)
         lists = [row if len(x) else row[:0] for x, row in zip(sets, bands)]
         return pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in carried), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-            [*carried, "k1", "k2", "bands"],
+            [*(batch.column(c) for c in carried), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
+            [*carried, "k1", "k2", "grams", "bands"],
         )
 
     kinds = {"doc_id": "doc_id long, ", "_text_digest": "_text_digest string, "}
-    return map_slices(docs.select(*carried, "text"), "text", sign, "".join(kinds[c] for c in carried) + "k1 long, k2 long, bands array<long>")
+    return map_slices(docs.select(*carried, "text"), "text", sign, "".join(kinds[c] for c in carried) + "k1 long, k2 long, grams long, bands array<long>")
 
 
 def _memberships(nodes: DataFrame) -> DataFrame:
-    """(bucket, band, low, high, block, node, doc_id, copies): a row per node and tile it takes part in."""
-    held = nodes.where("doc_id is not null").select("k1", "doc_id", "copies", F.posexplode("bands").alias("band", "bucket"))
-    stats = held.groupBy("bucket", "band").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("k1")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "k1")).alias("y")).where("n > 1")
+    """(bucket, band, low, high, block, k1, k2, doc_id, copies): a row per node and tile it takes part in."""
+    held = nodes.where("doc_id is not null").select("k1", "k2", "doc_id", "copies", "grams", F.posexplode("bands").alias("band", "bucket"))
+    key = F.xxhash64("k1", "k2")
+    stats = held.groupBy("bucket", "band").agg(F.count("*").alias("n"), F.sum("grams").alias("grams"), F.bit_xor(key).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "k1", "k2")).alias("y")).where("n > 1")
     # The same members meet in many bands; the first of those buckets serves for all.
-    kept = stats.groupBy("n", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("first")).select("first.*", "n")
+    kept = stats.groupBy("n", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("first"), F.min("grams").alias("all_grams")).select("first.*", "n", "all_grams")
     members = held.join(kept, ["bucket", "band"])
-    blocks = F.ceil(F.col("n") / TILE).cast("int")
+    blocks = F.greatest(F.least(F.ceil(F.col("n") / TILE), F.lit(SPREAD)), F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(8 * F.col("all_grams") / BLOCK_BYTES)).cast("int")
     members = members.withColumn("block", F.pmod(F.xxhash64(F.lit(2), "k1"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return members.select("bucket", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", F.col("k1").alias("node"), "doc_id", "copies")
+    return members.select("bucket", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "k1", "k2", "doc_id", "copies")
+
+
+class _Side:
+    """Up to SIDE texts of a tile: their places in it, and their shingles in order with the texts that hold each."""
+
+    def __init__(self, places: np.ndarray, sets: list[np.ndarray]):
+        self.places, self.sizes = places, np.array([len(sets[k]) for k in places])
+        every, owner = np.concatenate([sets[k] for k in places]), np.repeat(np.arange(len(places)), self.sizes)
+        order = np.argsort(every, kind="stable")
+        every, self.owner = every[order], owner[order]
+        self.starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        self.shingles, self.counts = every[self.starts], np.diff(np.append(self.starts, len(every)))
+
+    def holds(self, at: np.ndarray) -> np.ndarray:
+        """Matrix of which text holds which of the shingles at ``at``."""
+        size = self.counts[at]
+        places = np.repeat(self.starts[at] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        out = np.zeros((len(self.places), len(at)), np.float32)
+        out[self.owner[places], np.repeat(np.arange(len(at)), size)] = 1
+        return out
 
 
-def _shared(sets: list[np.ndarray], frequent: int = 16) -> np.ndarray:
-    """Matrix of how many shingles each two sets share.
+def _shared(a: _Side, b: _Side, frequent: int = 64) -> np.ndarray:
+    """Matrix of how many shingles each text of ``a`` shares with each of ``b``.
 
-    Shingles in many sets go through a matrix product, in chunks; the others add their few pairs.
+    Shingles of many pairs go through a matrix product, in chunks; the others add their few pairs.
     """
-    m = len(sets)
-    if m == 2:
-        n = len(np.intersect1d(*sets, assume_unique=True))
-        return np.array([[len(sets[0]), n], [n, len(sets[1])]])
-    owner = np.repeat(np.arange(m), [len(x) for x in sets])
-    every = np.concatenate(sets)
-    order = np.argsort(every, kind="stable")
-    owner, every = owner[order], every[order]
-    starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-    df = np.diff(np.append(starts, len(every)))
-    out = np.zeros((m, m), np.int64)
-    for d in range(2, frequent + 1):
-        at = starts[df == d]
-        if len(at):
-            holders = owner[at[:, None] + np.arange(d)]
-            for i in range(d):
-                for j in range(i + 1, d):
-                    out += np.bincount(holders[:, i] * m + holders[:, j], minlength=m * m).reshape(m, m)
-    common = np.flatnonzero(df > frequent)
+    _, in_a, in_b = np.intersect1d(a.shingles, b.shingles, assume_unique=True, return_indices=True)
+    na, nb = len(a.places), len(b.places)
+    pairs = a.counts[in_a] * b.counts[in_b]
+    rare = pairs <= frequent
+    many = pairs[rare]
+    k = np.arange(many.sum()) - np.repeat(np.concatenate([[0], np.cumsum(many)[:-1]]), many) if len(many) else np.zeros(0, np.int64)
+    width = np.repeat(b.counts[in_b[rare]], many)
+    rows = a.owner[np.repeat(a.starts[in_a[rare]], many) + k // np.maximum(width, 1)]
+    cols = b.owner[np.repeat(b.starts[in_b[rare]], many) + k % np.maximum(width, 1)]
+    out = np.bincount(rows * nb + cols, minlength=na * nb).reshape(na, nb)
+    common = np.flatnonzero(~rare)
     for k in range(0, len(common), 4096):
         part = common[k : k + 4096]
-        has = np.zeros((m, len(part)), np.float32)
-        size = df[part]
-        at = np.repeat(starts[part] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        has[owner[at], np.repeat(np.arange(len(part)), size)] = 1
-        out += np.triu((has @ has.T).astype(np.int64), 1)
-    out = np.triu(out, 1)
-    return out + out.T
-
-
-def _tile_rows(band: int, low: int, high: int, blocks: np.ndarray, nodes: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, threshold: tuple[int, int]):
-    """(node, root, new linked texts, new linked documents) of the texts with links in a tile."""
-    sizes = np.array([len(x) for x in sets])
-    shared = _shared(sets)
-    linked = shared * (threshold[0] + threshold[1]) >= threshold[0] * (sizes[:, None] + sizes[None, :])
-    np.fill_diagonal(linked, False)
-    if low != high:  # pairs inside a block are another tile's
-        linked &= blocks[:, None] != blocks[None, :]
-    a, b = np.nonzero(linked)
-    new = np.ones(len(a), bool)
-    for k in range(0, len(a), 1 << 18):
-        part = slice(k, k + (1 << 18))
-        new[part] = ~(bands[a[part], :band] == bands[b[part], :band]).any(1)
-    texts = np.bincount(a[new], minlength=len(nodes))
-    documents = np.bincount(a[new], copies[b[new]], minlength=len(nodes)).astype(np.int64)
-    label = np.arange(len(nodes))
+        out += (a.holds(in_a[part]) @ b.holds(in_b[part]).T).astype(np.int64)
+    return out
+
+
+def _merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` with the labels of linked places a and b made one, the least."""
+    p, q = label[a], label[b]
+    apart = p != q
+    if not apart.any():
+        return label
+    p, q, root = p[apart], q[apart], np.arange(len(label))
     while True:
-        least = label.copy()
-        np.minimum.at(least, a, label[b])
+        least = root.copy()
+        np.minimum.at(least, p, root[q])
+        np.minimum.at(least, q, root[p])
         least = least[least]
-        if (least == label).all():
-            break
-        label = least
-    some = np.flatnonzero(linked.any(1))
-    return nodes[some], nodes[label[some]], texts[some], documents[some]
+        if (least == root).all():
+            return root[label]
+        root = least
+
+
+def _tile_links(band: int, across: bool, blocks: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, threshold: tuple[int, int]):
+    """(places with links, their components' least places, new linked texts, new linked documents) of a tile.
+
+    ``across``: pairs inside a block are another tile's.
+    """
+    m = len(sets)
+    label, linked_any = np.arange(m), np.zeros(m, bool)
+    texts, documents = np.zeros(m, np.int64), np.zeros(m, np.int64)
+    cut = lambda at: [_Side(at[k : k + SIDE], sets) for k in range(0, len(at), SIDE)]
+    if across:
+        left, right = cut(np.flatnonzero(blocks == blocks.min())), cut(np.flatnonzero(blocks != blocks.min()))
+        pairs = [(a, b) for a in left for b in right]
+    else:
+        left = cut(np.arange(m))
+        pairs = [(a, b) for k, a in enumerate(left) for b in left[k:]]
+    for a, b in pairs:
+        linked = _shared(a, b) * (threshold[0] + threshold[1]) >= threshold[0] * (a.sizes[:, None] + b.sizes[None, :])
+        if a is b:
+            np.fill_diagonal(linked, False)
+        if not linked.any():
+            continue
+        linked_any[a.places] |= linked.any(1)
+        linked_any[b.places] |= linked.any(0)
+        rows, cols = np.nonzero(linked)
+        label = _merged(label, a.places[rows], b.places[cols])
+        for k in range(band):  # pairs that met in an earlier band are counted there
+            linked &= bands[a.places, k][:, None] != bands[b.places, k][None, :]
+        texts[a.places] += linked.sum(1)
+        documents[a.places] += linked @ copies[b.places]
+        if a is not b:
+            texts[b.places] += linked.sum(0)
+            documents[b.places] += copies[a.places] @ linked
+    some = np.flatnonzero(linked_any)
+    return some, label[some], texts[some], documents[some]
 
 
 def _links(members: DataFrame, docs: DataFrame, banding: Banding, threshold: tuple[int, int]) -> DataFrame:
-    """(bucket, low, high, node, root, texts, documents) from every tile."""
-    schema = "tile long, node long, root long, texts long, documents long"
+    """(tile, node, root, texts, documents) from every tile; nodes and roots are (k1, k2)."""
 
     def verify(batches):
         held: dict | None = None
 
         def close():
-            _, first = np.unique(held["node"], return_index=True)  # a repeated row is one text
-            nodes = np.array(held["node"], np.int64)[first]
-            if len(nodes) < 2:
+            keys = np.array(held["node"], np.int64).reshape(-1, 2)
+            _, first = np.unique(keys, axis=0, return_index=True)  # a repeated row is one text
+            if len(first) < 2:
                 return None
-            pick = lambda name: np.array(held[name])[first]
             band, low, high = held["key"][1:]
-            out = _tile_rows(band, low, high, pick("block"), nodes, pick("copies"), [held["set"][k] for k in first], np.array([held["bands"][k] for k in first]), threshold)
+            blocks = np.array(held["block"])[first]
+            if low != high and (blocks == blocks[0]).all():
+                return None
+            out = _tile_links(band, low != high, blocks, np.array(held["copies"])[first], [held["set"][k] for k in first], np.array([held["bands"][k] for k in first]), threshold)
             if not len(out[0]):
                 return None
+            keys = keys[first]
             tile = int.from_bytes(hashlib.blake2b(repr(held["key"]).encode(), digest_size=8).digest(), "little", signed=True)
-            columns = [np.full(len(out[0]), tile), *out]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["tile", "node", "root", "texts", "documents"])
+            columns = [np.full(len(out[0]), tile), *keys[out[0]].T, *keys[out[1]].T, *out[2:]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["tile", "k1", "k2", "r1", "r2", "texts", "documents"])
 
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 sets = shingle_sets(part.column("text"))
                 bands = banding.of(sets)
                 keys = zip(*(part.column(c).to_pylist() for c in ("bucket", "band", "low", "high")))
-                rest = zip(*(part.column(c).to_pylist() for c in ("block", "node", "copies")))
-                for key, (block, node, copies), shingles, row in zip(keys, rest, sets, bands):
+                rest = zip(*(part.column(c).to_pylist() for c in ("block", "k1", "k2", "copies")))
+                for key, (block, k1, k2, copies), shingles, row in zip(keys, rest, sets, bands):
                     if int(row[key[1]].view(np.int64)) != key[0]:
                         continue  # another text of the same id
                     if held is None or held["key"] != key:
                         if held is not None and (out := close()) is not None:
                             yield out
                         held = {"key": key, "block": [], "node": [], "copies": [], "set": [], "bands": []}
-                    for name, value in (("block", block), ("node", node), ("copies", copies), ("set", shingles), ("bands", row)):
+                    for name, value in (("block", block), ("node", (k1, k2)), ("copies", copies), ("set", shingles), ("bands", row)):
                         held[name].append(value)
         if held is not None and (out := close()) is not None:
             yield out
 
     tiles = members.join(docs.select("doc_id", "text"), "doc_id")
-    tiles = tiles.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "band", "low", "high", "node")
-    return tiles.select("bucket", "band", "low", "high", "block", "node", "copies", "text").mapInArrow(verify, schema)
+    tiles = tiles.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "band", "low", "high", "k1", "k2")
+    found = tiles.select("bucket", "band", "low", "high", "block", "k1", "k2", "copies", "text").mapInArrow(verify, "tile long, k1 long, k2 long, r1 long, r2 long, texts long, documents long")
+    return found.select("tile", F.struct("k1", "k2").alias("node"), F.struct(F.col("r1").alias("k1"), F.col("r2").alias("k2")).alias("root"), "texts", "documents")
 
 
 def merge_components(members: DataFrame) -> DataFrame:
@@ -247,8 +290,10 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (4, 5), rows:
     Two texts are linked if the Jaccard similarity of their five-gram sets is at least the threshold
     (numerator, denominator). n_links: other rows whose texts have the same set or are linked.
     n_copies: other rows of the same set. class_id: the least doc_id in the row's linked class. Texts
-    without words (null as empty) are only alike if equal. A text that only rows without an id have
-    is not compared, and its class is null. Repeated rows are copies of each other.
+    without words (null as empty) are only alike if equal; very long ones are compared whole. A text
+    that only rows without an id have is not compared, and its class is null. Repeated rows are copies
+    of each other; ids may repeat. Other columns, of whatever names, are ignored; an empty table gives
+    no rows.
     """
     signed, known = _classed(docs.select("doc_id", "text"), threshold, rows, recall)
     return signed.select("doc_id", "k1", "k2").join(known.drop("label"), ["k1", "k2"]).select("doc_id", "class_id", "n_links", "n_copies")
@@ -257,8 +302,9 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (4, 5), rows:
 def class_survivors(docs: DataFrame, threshold: tuple[int, int] = (4, 5), rows: int = 5, recall: float = 0.998) -> DataFrame:
     """(doc_id, _text_digest) of one text of each class of ``near_duplicates``: that of the least id, then the least digest.
 
-    Ids may repeat with different texts, which are in classes of their own. ``docs`` has doc_id, text
-    and _text_digest. Rows without an id don't count.
+    Ids may repeat with different texts, which are in classes of their own; equal rows are one. ``docs``
+    has doc_id, text and _text_digest; null texts count as empty. Rows without an id don't count. An
+    empty table gives no rows.
     """
     signed, known = _classed(docs.select("doc_id", "text", "_text_digest"), threshold, rows, recall)
     found = signed.where("doc_id is not null").select("doc_id", "_text_digest", "k1", "k2").join(known.select("k1", "k2", "label"), ["k1", "k2"])
@@ -269,17 +315,15 @@ def _classed(docs: DataFrame, threshold: tuple[int, int], rows: int, recall: flo
     """The signatures, and k1, k2, label, class_id, n_copies, n_links of each set; a class is a label."""
     banding = Banding(choose_bands(threshold[0] / threshold[1], rows, recall), rows)
     signed = written(signatures(docs, banding), "jaccard-signed")
-    nodes = written(signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "jaccard-nodes")
+    nodes = written(signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("grams").alias("grams"), F.first("bands").alias("bands")), "jaccard-nodes")
     links = written(_links(_memberships(nodes), docs, banding, (threshold[0], threshold[1])), "jaccard-links")
     return signed, _classes(nodes, links)
 
 
 def _classes(nodes: DataFrame, links: DataFrame) -> DataFrame:
     counts = links.groupBy("node").agg(F.sum("documents").alias("linked"))
-    comps = links.select(F.xxhash64("tile", "root").alias("comp"), "node")
-    labels = merge_components(comps)
-    plain = nodes.select("k1", "k2", "doc_id", "copies")
-    known = plain.join(labels.withColumnRenamed("node", "k1"), "k1", "left").withColumn("label", F.coalesce("label", "k1"))
-    known = written(known.join(counts.withColumnRenamed("node", "k1"), "k1", "left"), "jaccard-known")
+    labels = merge_components(links.select(F.struct("tile", "root").alias("comp"), "node"))
+    known = nodes.select(F.struct("k1", "k2").alias("node"), "doc_id", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    known = written(known.join(counts, "node", "left"), "jaccard-known")
     least = known.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    return known.join(least, "label").select("k1", "k2", "label", "class_id", (F.col("copies") - 1).alias("n_copies"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    return known.join(least, "label").select("node.*", "label", "class_id", (F.col("copies") - 1).alias("n_copies"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
