@@ -11,10 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import ALNUM, SPACED, Words, extend, hash_spans, line_spans, map_slices, seen_before, text_bytes
+from strataflow.llm.common import ALNUM, SPACED, Words, extend, hash_spans, line_spans, map_slices, seen_before, text_bytes, written
 from strataflow.llm.samples import held_out, labelled_ids
 
 _kind = np.zeros(256, np.int64)
@@ -185,37 +185,55 @@ def fit_crf(features: np.ndarray, first: np.ndarray, labels: np.ndarray, steps:
     return LineModel(theta[:WIDTH], theta[WIDTH:].reshape(2, 2), mean, spread)
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, most: int = 1500, most_lines: int = 120) -> LineModel:
-    """Fit on at most ``most`` labelled documents of each class, held-out rows left out.
+def stretches(first: np.ndarray, marks: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Chains cut into stretches of at most ``longest`` lines, each with its document's mark; no line is left out."""
+    begins = [np.arange(a, b, longest) for a, b in zip(first[:-1], first[1:])]
+    return np.append(np.concatenate([*begins, np.zeros(0, np.int64)]), first[-1]).astype(np.int64), np.repeat(marks, [len(x) for x in begins])
 
-    Of a training document's lines the features of ``most_lines``, evenly spread, go to the driver;
-    both bounds limit what is fitted on only: scores use every line.
+
+def training_rows(docs: DataFrame, labels: DataFrame, most: int, most_bytes: int) -> DataFrame:
+    """(quality, text) of at most ``most`` labelled documents of each class, and of about ``most_bytes`` bytes.
+
+    They are drawn by hashed id outside the held-out part. A line counts as 64 bytes more. An id whose
+    texts take over a quarter of the bound alone is passed over, so that no one document is the sample.
+    """
+    ids = [labelled_ids(labels, "quality", k, most, 21 + k).withColumn("_quality", F.lit(k)) for k in (0, 1)]
+    text = F.coalesce("text", F.lit(""))
+    size = F.octet_length(text) + 64 * (1 + F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))))
+    sized = docs.select("doc_id", "text").join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id").withColumn("_size", size.cast("long"))
+    sized = written(sized.where(F.col("_size") <= most_bytes // 4), "quality-sample")
+    by_id = sized.groupBy("_quality", "doc_id").agg(F.sum("_size").alias("_all")).where(F.col("_all") <= most_bytes // 4)
+    so_far = F.sum("_all").over(Window.partitionBy("_quality").orderBy(F.xxhash64(F.lit(23), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    kept = by_id.withColumn("_so_far", so_far).where(F.col("_so_far") <= most_bytes).select("doc_id")
+    return sized.join(F.broadcast(kept), "doc_id", "left_semi").select(F.col("_quality").alias("quality"), "text")
+
+
+def train_quality(docs: DataFrame, labels: DataFrame, most: int = 1500, most_bytes: int = 16 << 20, longest: int = 120) -> LineModel:
+    """Fit on all lines of at most ``most`` labelled documents and ``most_bytes`` of each class, held-out rows left out.
+
+    Training cuts chains into stretches of ``longest`` lines, whose neighbours' features stay; scores
+    go over whole documents. Null texts count as one empty line, repeated rows count as often as they
+    come, ids with both labels not at all. Without documents of both classes see ``fit_crf``.
     """
 
-    def sample(batch: pa.RecordBatch):
+    def lines(batch: pa.RecordBatch):
         features, _, first = line_features(batch.column("text"))
-        out = []
-        for a, b in zip(first[:-1], first[1:]):
-            at = a + np.unique(np.linspace(0, b - a - 1, min(b - a, most_lines)).astype(np.int64))
-            out.append(features[at].astype("<f4").tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["lines"])
-
-    found, marks = [], []
-    for k in (0, 1):
-        ids = labelled_ids(labels, "quality", k, most, 21 + k)
-        chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select("text")
-        rows = sorted(x[0] for x in map_slices(chosen, "text", sample, "lines binary").collect())
-        found += [np.frombuffer(x, "<f4").reshape(-1, WIDTH) for x in rows]
-        marks += [k] * len(rows)
+        out = [features[a:b].astype("<f4").tobytes() for a, b in zip(first[:-1], first[1:])]
+        return pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(out, pa.binary())], ["quality", "lines"])
+
+    sample = training_rows(docs, labels, most, most_bytes)
+    rows = sorted((r[0], bytes(r[1])) for r in map_slices(sample, "text", lines, "quality int, lines binary").collect())
+    found = [np.frombuffer(x, "<f4").reshape(-1, WIDTH) for _, x in rows]
     first = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
     features = np.concatenate(found).astype(np.float64) if found else np.zeros((0, WIDTH))
-    return fit_crf(features, first, np.array(marks, int))
+    return fit_crf(features, *stretches(first, np.array([k for k, _ in rows], int), longest))
 
 
 def score_quality(docs: DataFrame, model: LineModel, threshold: float = 0.3, carry: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher is better) and ``predicted`` (1: good). No shuffle.
 
-    Null and empty texts count as one empty line.
+    Null and empty texts count as one empty line; very long texts are scored whole. Repeated rows each
+    give a row, equal texts equal scores; columns of those names are replaced; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -227,6 +245,6 @@ def score_quality(docs: DataFrame, model: LineModel, threshold: float = 0.3, car
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row."""
+    """doc_id, held_out, score, predicted of every row; null ids are held out. All else as in ``train_quality`` and ``score_quality``."""
     model = train_quality(docs, labels)
     return score_quality(docs.select("doc_id", "text"), model, carry=["doc_id"]).select("doc_id", held_out().alias("held_out"), "score", "predicted")
