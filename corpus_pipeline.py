@@ -2,6 +2,11 @@
 
 A stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last give the columns of
 their input. ``run`` writes each stage's rows to the shared folder and reads them again.
+
+In every stage nulls and empty texts count as empty, very long texts are read whole, further columns
+go along whatever their names (those that a stage works with besides are its own and hidden), and an
+empty table gives no rows. What a stage says of rows it says of each: repeated rows fare alike, and
+only the join makes them one.
 """
 
 from __future__ import annotations
@@ -13,26 +18,37 @@ from pyspark.sql import functions as F
 from strataflow.llm.bpe import codec_digests
 from strataflow.llm.common import written
 from strataflow.llm.crf import score_quality, train_quality
-from strataflow.llm.fertility import quality_rules
+from strataflow.llm.fertility import fit_bands, quality_rules
 from strataflow.llm.jaccard import class_survivors
 from strataflow.llm.winnow import contamination
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line classifier takes for good."""
+    """Documents that the line classifier takes for good.
+
+    It is fitted on the labelled documents of ``docs`` outside the held-out part. Null and empty texts
+    are scored as one empty line; rows without an id are scored like others.
+    """
     model = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score_quality(docs, model).where("predicted = 1").select(docs.columns)
 
 
 def token_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the word counts and the token bands of their script."""
-    return quality_rules(docs, public_tokenizers.path("piece_bpe_32k.model")).where("kept").select(docs.columns)
+    """Documents that pass the word counts and, under two vocabularies, the token bands of their language and script.
+
+    The bands are measured on the clean labelled documents of ``docs``. Null and empty texts fail the
+    word counts; a null ``lang`` has its script's bands.
+    """
+    vocabularies = tuple(map(public_tokenizers.path, ("piece_bpe_32k.model", "byte_bpe_50k.json")))
+    bands = fit_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), vocabularies)
+    return quality_rules(docs, vocabularies, bands).where("kept").select(docs.columns)
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the least id; rows without an id stay.
+    """Of each class of near duplicates the document with the least id, on a tie the one of the least digest; rows without an id stay.
 
-    Different texts of one id count as documents of their own.
+    Different texts of one id count as documents of their own, and repeated rows as one, of which any
+    row stays. Null and empty texts are copies of each other.
     """
     key = ["doc_id", "_text_digest"]
     digested = docs.withColumn("_text_digest", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
@@ -42,12 +58,18 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no ten words in a row with a benchmark item."""
+    """Documents that share no ten words in a row with a benchmark item, nor all words of a shorter one.
+
+    Null and empty texts share none and stay; items without words or id are left out.
+    """
     return contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit = 0").select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, the digests of ids and of decoded bytes, and the ids of every document."""
+    """doc_id, lang, source (where there are such columns), n_tokens, the digests of ids and of decoded bytes, and the ids of every document.
+
+    Null and empty texts have no ids.
+    """
     return codec_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, carry=["doc_id", "lang", "source"], with_ids=True)
 
 
