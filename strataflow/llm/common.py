@@ -112,15 +112,16 @@ class Memo(dict):
         """Have all of ``words``, the new ones learnt together; those over ``longest`` characters until the next call only."""
         for word in self.once:
             del self[word]
-        new = words.difference(self)
-        cost = lambda: sum(map(len, new)) * 8 + 200 * len(new)
-        if self.held + cost() > self.limit:
+        cost = lambda new: sum(8 * len(word) + 200 for word in new if len(word) <= longest)
+        new = list(words.difference(self))
+        size = cost(new)
+        if self.held + size > self.limit:
             self.clear()
-            self.held, new = 0, words
-        listed = list(new)
-        self.update(zip(listed, self.learn(listed)) if listed else ())
-        self.once = [word for word in listed if len(word) > longest]
-        self.held += cost() - sum(8 * len(word) + 200 for word in self.once)
+            new = list(words)
+            self.held, size = 0, cost(new)
+        self.update(zip(new, self.learn(new)) if new else ())
+        self.once = [word for word in new if len(word) > longest]
+        self.held += size
 
 
 class WordKind:

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from support import SF, as_rows
 
 from strataflow.llm import jaccard, reshard, warc
@@ -85,6 +86,34 @@ def test_a_foreign_header_may_be_long_and_hold_magic_words(spark, tmp_path):
     assert sorted(bytes(r.block).decode() for r in warc.read_warc(spark, str(tmp_path)).collect()) == sorted(bodies)
 
 
+def test_urls_of_a_million_characters(spark):
+    rows = [(k, "data:," + "u" * 10**6 if k in (3, 17) else f"http://a/{k}" + "v" * (10**5 if k == 9 else 0), f"page {k}") for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for split in ("134217728", "65536"):
+        try:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            out = warc.warc_round_trip(pages).collect()
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        assert sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in out) == expected_pages(rows)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None  # the session is left as it was
+
+
+def test_broken_chains_are_told(spark, tmp_path):
+    record = lambda body, n=None: f"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: {len(body) if n is None else n}\r\n\r\n{body}\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes((record("fine") + record("too")).encode())
+    assert warc.read_warc(spark, str(tmp_path), broken="raise").count() == 2
+    (tmp_path / "b.warc").write_bytes(b"garbage" + record("lost").encode())
+    (tmp_path / "c.warc").write_bytes((record("ok") + record("broken", 3) + record("after")).encode())
+    marks = {r.file[-6:]: r.offset for r in warc.read_warc(spark, str(tmp_path), broken="mark").where("record_type = 'broken'").collect()}
+    assert marks == {"b.warc": 0, "c.warc": len(record("ok")) + len(record("bro", 3))}
+    with pytest.raises(ValueError, match="chains of records break"):
+        warc.read_warc(spark, str(tmp_path), broken="raise")
+
+
 def test_blocks_may_be_read_in_groups(spark, tmp_path):
     pages = spark.createDataFrame(page_rows(), "page_id long, url string, html string").repartition(5)
     warc.write_warc(warc.with_revisits(pages), str(tmp_path / "w"))
@@ -153,6 +182,16 @@ def test_links_and_classes_equal_brute_force(spark, monkeypatch, tile):
     assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in out) == brute_links(rows)
 
 
+def test_large_buckets_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 4)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(jaccard, "SIDE", 7)
+    rows = near_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = jaccard.near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in out) == brute_links(rows)
+
+
 def test_near_duplicates_of_real_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     out = jaccard.near_duplicates(docs).collect()
@@ -226,6 +265,40 @@ def test_layout(spark, odd_docs, no_docs):
     assert reshard.shard_digests(no_docs).count() == 0
 
 
+def test_placement_equals_brute_force(spark):
+    """Shards, blocks and slots again by hand from the rows' sizes and hashes, through the same flow."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(None, None), (7, ""), (7, "")], "doc_id long, text string"))
+    spread = F.xxhash64(F.lit(5), "doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")), reshard.text_size())
+    rows = [(r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()), r.h) for r in docs.withColumn("h", spread).collect()]
+    bins = Counter()
+    for _, size, _, _ in rows:
+        bins[size.bit_length() - 1] += size
+    cut = max(bins)
+    while cut >= 0 and 4 * sum(v for k, v in bins.items() if k >= cut) <= sum(bins.values()):
+        cut -= 1
+    half, old, block = reshard.BLOCKS // 2, {}, {}
+    for k, (_, size, _, h) in enumerate(rows):
+        old[k] = h % 5
+        block[k] = ((h % (1 << 64)) >> 20) % half + (half if size < 1 << (cut + 1) else 0)
+    sizes = Counter()
+    for k, row in enumerate(rows):
+        sizes[old[k], block[k]] += row[1]
+    target = reshard.plan_transfers(dict(sizes), 5, 8).target
+    order = sorted(range(len(rows)), key=lambda k: (target[old[k], block[k]], old[k], block[k], rows[k][0] is not None, rows[k][0] or 0, rows[k][2], rows[k][1]))
+    slots, expected = Counter(), []
+    for k in order:
+        shard = target[old[k], block[k]]
+        expected.append((str(rows[k][0]), rows[k][1], rows[k][2], shard, slots[shard]))
+        slots[shard] += 1
+    out = reshard.shard_digests(docs).collect()
+    assert sorted((str(r.doc_id), r["size"], r.text_crc32, r.shard, r.slot) for r in out) == sorted(expected)
+    moved = sum(rows[k][1] for k in range(len(rows)) if target[old[k], block[k]] != old[k])
+    fair = sum(r[1] for r in rows) / 8
+    held = [sum(rows[k][1] for k in range(len(rows)) if old[k] == s) for s in range(5)]
+    least = sum(max(0, h - fair) for h in held)  # no flow can move less than what is over a fair share
+    assert least - 8 <= moved <= least + 8 * max(sizes.values())  # and a block more at each border
+
+
 def test_sizes_are_near_equal_and_files_stay(spark, tmp_path):
     docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
     rows = reshard.reshard(docs, str(tmp_path), 5, 8)

@@ -165,6 +165,71 @@ def test_bands_tell_symbols_and_table_cells_from_clean_texts(spark):
         assert good.count(True) >= 0.92 * len(good) > 0
 
 
+VOCABULARIES = (MODEL, P.path("byte_bpe_50k.json"))
+
+
+def test_measured_bands_reject_junk_and_keep_clean_texts(spark):
+    folder = SF.replace("0.001", "0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    bands = fertility.fit_bands(docs, labels, VOCABULARIES)
+    known = docs.join(labels.where("quality is not null").select("doc_id", "quality"), "doc_id").where(samples.held_out())
+    rows = fertility.quality_rules(known, VOCABULARIES, bands, carry=["doc_id", "quality"]).where("not base_failed").collect()
+    bad, good = [r.kept for r in rows if r.quality == 0], [r.kept for r in rows if r.quality == 1]
+    assert bad.count(False) >= 0.7 * len(bad) > 0 and good.count(True) >= 0.97 * len(good) > 0
+
+
+def brute_figures(path, text):
+    """(tokens, characters per token, share of lone bytes, relative entropy) by the library itself."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    if path.endswith(".model"):
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        ids = model.encode(text)
+        lone = sum(model.is_byte(k) for k in ids)
+    else:
+        model = Tokenizer.from_file(path)
+        ids = model.encode(text, add_special_tokens=False).ids
+        lone = sum("\ufffd" in model.decode([k]) for k in ids)
+    if not ids:
+        return 0, len(text), 0.0, 1.0
+    p = np.array(list(Counter(ids).values())) / len(ids)
+    return len(ids), len(text) / len(ids), lone / len(ids), -(p * np.log(p)).sum() / np.log(len(ids)) if len(ids) > 1 else 1.0
+
+
+def test_verdicts_equal_brute_force(spark, odd_docs):
+    real = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    bands = fertility.fit_bands(real, spark.read.parquet(f"{SF}/labels.parquet"), VOCABULARIES, least=10)
+    docs = real.unionByName(odd_docs.select("doc_id", "text", "lang")).unionByName(spark.createDataFrame([(99, "ж" * 5 + " " + "река " * 30, "ru"), (98, "ok " * 40, "xx")], "doc_id long, text string, lang string"))
+    got = {(r.doc_id, r.text): r for r in fertility.quality_rules(docs, VOCABULARIES, bands).collect()}
+    verdicts = Counter()
+    for r in docs.collect():
+        text, row = r.text or "", got[r.doc_id, r.text]
+        found = [brute_figures(path, text) for path in VOCABULARIES]
+        counts = [sum(c.isascii() and c.isalpha() or "\x80" <= c < "\u0380" for c in text), *[sum(a <= c < b for c in text) for a, b in (("\u0380", "\u0400"), ("\u0400", "\u0500"), ("\u0500", "\u0800"), ("\u0800", "\U00010000"))], sum(c >= "\U00010000" for c in text)]
+        script = fertility.SCRIPTS[counts.index(max(counts))]
+        band = bands[r.lang if script == "latin" and r.lang in bands and r.lang not in fertility.SCRIPTS else script]
+        size = (found[0][0] >= 150) + (found[0][0] >= 400)
+        inside = True
+        for k, (n, *figures) in enumerate(found):
+            for j, x in enumerate(figures):
+                low, high = band[size][3 * k + j]
+                low *= np.log(4096) / np.log(max(n, 4096)) if j == 2 else 1
+                inside &= low <= x <= high
+                assert [row.chars_per_token, row.byte_share, row.token_entropy, row.chars_per_token_2, row.byte_share_2, row.token_entropy_2][3 * k + j] == pytest.approx(x)
+        assert row.script == script and row.kept == (bool(inside) and not row.base_failed), (r.doc_id, found)
+        verdicts[row.kept, row.base_failed] += 1
+    assert verdicts[True, False] and verdicts[False, False] and verdicts[False, True]
+
+
+def test_without_labels_every_band_is_open(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    bands = fertility.fit_bands(no_docs, labels, VOCABULARIES)
+    assert {x for found in bands.values() for size in found for x in size} == set(fertility.OPEN)
+    assert fertility.quality_rules(odd_docs, VOCABULARIES, bands).count() == odd_docs.count()
+
+
 def test_bands_reject_a_clean_text_once_it_is_dressed_as_symbols_or_cells(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").select("doc_id", "text", "lang")
     clean = fertility.quality_rules(docs, MODEL).where("kept and n_tokens >= 400").orderBy("doc_id").limit(20).collect()
@@ -224,6 +289,73 @@ def test_forward_backward_equals_enumeration():
     np.testing.assert_allclose(expected, total, rtol=1e-9)
 
 
+def brute_line_features(texts):
+    """Own features of each line as their names say, in the model's order, without arrays."""
+    marks, symbols = ".,;:!?'\"()-", "#*$%&|<>{}[]=_/\\^~`@+"
+    kinds = lambda b: 1 if 48 <= b < 58 else 2 if 65 <= b < 91 else 3 if 97 <= b < 123 or b >= 128 else 4 if chr(b) in marks else 5 if chr(b) in symbols else 6 if b in b" \t\r\n\x0b\x0c" else 0
+    out = []
+    for text in texts:
+        lines, seen_lines, seen_words, last_word, own = (text or "").split("\n"), set(), set(), None, []
+        for line in lines:
+            raw = line.encode()
+            counts = [sum(kinds(b) == k for b in raw) for k in range(crf.KINDS)]
+            tokens, size = SPACED.findall(line), max(len(raw), 1)
+            some = max(len(tokens), 1)
+            again = adjacent = 0
+            for token in tokens:
+                again += token in seen_words
+                adjacent += token == last_word
+                seen_words.add(token)
+                last_word = token
+            bare = len(tokens) - min(len(words(line)), len(tokens))
+            row = [c / size for c in counts] + [np.log1p(len(raw)) / 5, np.log1p(len(tokens)) / 4, len(raw) / some / 10, bare / some, line in seen_lines and line != "", again / some, adjacent / some]
+            row += [raw[-1:] in (b".", b"!", b"?", b'"', b"'", b")") and raw != b"", bool(raw) and kinds(raw[-1]) == 5, not raw, min(counts[5] / some, 3)]
+            seen_lines.add(line)
+            own.append([float(x) for x in row])
+        blank = [0.0] * crf.OWN
+        out += [row + (own[k - 1] if k else blank) + (own[k + 1] if k + 1 < len(own) else blank) + [1.0, float(k == 0), float(k + 1 == len(own))] for k, row in enumerate(own)]
+    return np.array(out)
+
+
+def test_line_features_and_scores_equal_brute_force(spark):
+    docs = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(40).collect()]
+    texts = [t if t and len(t) < 4000 else None for t in docs] + ["", "\n\n", "a a b\na a b\n\n###", "É | É |\n|"]
+    features, weights, first = crf.line_features(pa.array(texts, pa.string()))
+    np.testing.assert_allclose(features, brute_line_features(texts), atol=1e-12)
+    assert weights.tolist() == [max(len(line.encode()), 1) for t in texts for line in (t or "").split("\n")]
+    draw = np.random.default_rng(3)
+    model = crf.LineModel(draw.normal(size=crf.WIDTH), draw.normal(size=(2, 2)), draw.normal(size=crf.WIDTH) / 10, 1 + draw.random(crf.WIDTH))
+    scores = model.scores(pa.array(texts, pa.string()))
+    for k, text in enumerate(texts):
+        unary = model.unary(features[first[k] : first[k + 1]])
+        forward, backward, n = np.zeros((len(unary), 2)), np.zeros((len(unary), 2)), len(unary)
+        forward[0] = unary[0]
+        for t in range(1, n):
+            forward[t] = [np.logaddexp.reduce(forward[t - 1] + model.pair[:, s]) + unary[t, s] for s in (0, 1)]
+        for t in range(n - 2, -1, -1):
+            backward[t] = [np.logaddexp.reduce(model.pair[s] + unary[t + 1] + backward[t + 1]) for s in (0, 1)]
+        total = forward + backward
+        good = np.exp(total[:, 1] - np.logaddexp(total[:, 0], total[:, 1]))
+        weight = weights[first[k] : first[k + 1]]
+        assert scores[k] == pytest.approx((good * weight).sum() / weight.sum(), abs=1e-9)
+
+
+def test_training_takes_every_line():
+    first, marks = crf.stretches(np.array([0, 5, 5, 305, 306]), np.array([0, 1, 1, 0]), 120)
+    assert first.tolist() == [0, 5, 125, 245, 305, 306] and marks.tolist() == [0, 1, 1, 1, 0]
+    assert crf.stretches(np.array([0]), np.array([], int), 120)[0].tolist() == [0]
+
+
+def test_training_samples_are_bounded(spark):
+    docs = spark.createDataFrame([(k, "x" * (10 if k % 3 else 5000) + "\n" * (k % 5)) for k in range(300)] + [(1, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(300)], "doc_id long, quality int, toxic int")
+    rows = crf.training_rows(docs, labels, 100, 4000).collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r.quality] += len(r.text or "") + 64 * (1 + (r.text or "").count("\n"))
+    assert 0 < sizes[0] <= 4000 and 0 < sizes[1] <= 4000 and all(len(r.text or "") < 100 for r in rows)
+
+
 def test_line_features_survive_odd_texts(odd_docs):
     column = pa.array([r.text for r in odd_docs.collect()], pa.string())
     features, weights, first = crf.line_features(column)
@@ -275,3 +407,66 @@ def test_negative_risk_is_not_driven_below_zero():
     model = nnpu.fit_nnpu(toxic[:100], toxic[100:] + clean, 0.05)
     score = lambda sets: np.array([1 / (1 + np.exp(-(model.bias + sum(model.weights[model.place[b]] for b in set(s.tolist()) if model.place[b] >= 0)))) for s in sets])
     assert (score(toxic) >= 0.5).mean() > 0.95 and (score(clean) < 0.5).mean() > 0.95
+
+
+def brute_buckets(text):
+    """Buckets of a text's words and of the beginnings of its longer words, each hashed alone."""
+    found = set()
+    for word in words(text):
+        w = common.Words(*common.text_bytes(pa.array([word])))
+        found.add(int(w.hashes[0] >> common.U64(44)))
+        for size in nnpu.STEMS:
+            if len(word.encode()) > size:
+                found.add(int(w.stems(size)[1][0] >> common.U64(44)))
+    return found
+
+
+def test_toxic_fit_and_scores_equal_brute_force(spark):
+    """The fit in tasks against the same risk written out text by text."""
+    import zlib
+
+    folder = SF.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").where("length(text) < 3000").orderBy("doc_id").limit(400)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = nnpu.train_toxicity(docs.repartition(3), labels, features=64, steps=8)
+    held = lambda k: zlib.crc32(str(k).encode()) % 5 == 0
+    marks = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None}
+    texts = {r.doc_id: brute_buckets(r.text) for r in docs.collect()}
+    prior = np.mean([v for k, v in marks.items() if not held(k)])
+    positive = list({frozenset(b): b for k, b in texts.items() if marks.get(k) == 1 and not held(k)}.values())
+    unlabelled = [b for k, b in texts.items() if not held(k)]
+    in_p, in_u = Counter(x for b in positive for x in b), Counter(x for b in unlabelled for x in b)
+    purity = {x: min(prior * (n + 0.5) / (len(positive) + 1) / ((in_u[x] + 0.5) / (len(unlabelled) + 1)), 1) for x, n in in_p.items() if n >= max(3, 0.002 * len(positive))}
+    usable = sorted(x for x, p in purity.items() if p >= min(0.5, 3 * prior))
+    chosen = sorted(usable, key=lambda x: (-(purity[x] * np.sqrt(in_p[x])), x))[:64]
+    assert sorted(np.flatnonzero(model.place >= 0).tolist()) == sorted(chosen) and len(chosen) > 5
+    w, b = {x: 1.0 for x in chosen}, -2.0
+    moment, square = Counter(), Counter()
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    for step in range(1, 9):
+        def means(group, w=w, b=b):
+            grad, total = Counter(), 0.0
+            for buckets in group:
+                s = sigmoid(sum(w[x] for x in buckets if x in w) + b)
+                total += s / len(group)
+                grad[None] += s * (1 - s) / len(group)
+                for x in buckets:
+                    if x in w:
+                        grad[x] += s * (1 - s) / len(group)
+            return total, grad
+
+        (p, p_grad), (u, u_grad) = means(positive), means(unlabelled)
+        for x in [*chosen, None]:
+            negative = u_grad[x] - prior * p_grad[x]
+            g = -negative if u - prior * p < 0 else negative - prior * p_grad[x]
+            g += 1e-4 * w[x] if x is not None else 0
+            moment[x] = 0.9 * moment[x] + 0.1 * g
+            square[x] = 0.999 * square[x] + 0.001 * g * g
+            move = 0.2 * (moment[x] / (1 - 0.9**step)) / (np.sqrt(square[x] / (1 - 0.999**step)) + 1e-8)
+            if x is None:
+                b -= move
+            else:
+                w[x] -= move
+    assert model.bias == pytest.approx(b, abs=1e-6) and all(model.weights[model.place[x]] == pytest.approx(w[x], abs=1e-6) for x in chosen)
+    out = {r.doc_id: r.score for r in nnpu.score_toxicity(docs, model).collect()}
+    assert all(out[k] == pytest.approx(sigmoid(sum(w[x] for x in buckets if x in w) + b), abs=1e-6) for k, buckets in texts.items())

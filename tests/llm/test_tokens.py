@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from strataflow.llm import bpe, sequences, tokens
+from strataflow.llm import bpe, common, pieces, sequences, tokens
 from strataflow.llm.common import safe_pieces
 
 JSON, MODEL, RANKS = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"), P.path("byte_bpe_multi_50k.tiktoken")
@@ -63,6 +63,31 @@ def test_cut_texts_have_the_same_tokens(parts):
     assert sum(len(ids_of(library, p)) for p in pieces) == len(ids_of(library, text))
 
 
+@given(st.lists(st.integers(0, 100), max_size=60), st.integers(1, 200))
+def test_batches_are_balanced(sizes, limit):
+    batches = tokens.balanced(sizes, limit)
+    assert sorted(k for b in batches for k in b) == list(range(len(sizes)))
+    sums = [sum(sizes[k] for k in b) for b in batches]
+    assert not sizes or max(sums) <= max(limit, sum(sizes) / len(sums)) + max(sizes)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aab ▁\n\té日🙂 \x00<0>ﬁ_"), max_size=30), max_size=4))
+def test_pieces_of_words_are_the_texts_pieces(texts):
+    encoder = pieces.load_pieces(MODEL)
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.packed(texts)] == encoder.model.encode(texts)
+
+
+def test_what_workers_remember_is_bounded():
+    asked = []
+    memo = common.Memo(lambda words: asked.append(len(words)) or [w.encode() for w in words], 10_000)
+    for k in range(200):
+        words = {f"w{k}", f"v{k % 7}", "x" * 5000}
+        memo.know(words)
+        assert all(memo[w] == w.encode() for w in words) and memo.held <= 10_000 and len(memo) < 60
+    assert 400 <= sum(asked) < 200 * 3  # the long word each time, the others once in a while
+
+
 def test_nothing_to_count(no_docs):
     assert tokens.count_tokens(no_docs, JSON).collect() == []
 
@@ -156,5 +181,12 @@ def test_small_files_keep_the_order(spark, tmp_path, odd_docs, library):
     assert len(list((tmp_path / "s").glob("part-*"))) > 3
 
 
+def test_starts_add_up_over_groups_of_parts(spark, tmp_path, odd_docs, monkeypatch):
+    monkeypatch.setattr(sequences, "PARTS", 2)
+    sequences.write_sequences(odd_docs.repartitionByRange(7, "doc_id"), JSON, str(tmp_path / "s"), length=16, file_tokens=50)
+    rows = sequences.sequence_index(spark, str(tmp_path / "s")).orderBy("start").collect()
+    assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:k]) for k in range(len(rows))] and len(rows) == odd_docs.count()
+
+
 def test_nothing_to_write(no_docs):
     assert sequences.sequence_round_trip(no_docs, JSON).collect() == []
