@@ -11,6 +11,8 @@ only the join makes them one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,13 @@ from strataflow.llm.jaccard import class_survivors
 from strataflow.llm.winnow import contamination
 
 
+def _kept(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that ``stage`` leaves of ``docs``, with all columns as they were: those it doesn't need go by other names meanwhile."""
+    hidden = {c: f"_column_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text", "lang")}
+    out = stage(docs.withColumnsRenamed(hidden))
+    return out.select(*[F.col(hidden.get(c, c)).alias(c) for c in docs.columns])
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier takes for good.
 
@@ -30,7 +39,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     are scored as one empty line; rows without an id are scored like others.
     """
     model = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_quality(docs, model).where("predicted = 1").select(docs.columns)
+    return _kept(docs, lambda df: score_quality(df, model).where("predicted = 1"))
 
 
 def token_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +50,7 @@ def token_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     vocabularies = tuple(map(public_tokenizers.path, ("piece_bpe_32k.model", "byte_bpe_50k.json")))
     bands = fit_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), vocabularies)
-    return quality_rules(docs, vocabularies, bands).where("kept").select(docs.columns)
+    return _kept(docs, lambda df: quality_rules(df, vocabularies, bands).where("kept"))
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,11 +59,14 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Different texts of one id count as documents of their own, and repeated rows as one, of which any
     row stays. Null and empty texts are copies of each other.
     """
-    key = ["doc_id", "_text_digest"]
-    digested = docs.withColumn("_text_digest", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    kept = digested.join(class_survivors(digested), key, "left_semi").dropDuplicates(key)
-    unnamed = docs.where("doc_id is null")
-    return kept.select(docs.columns).unionByName(unnamed)
+
+    def first_of_each(df: DataFrame) -> DataFrame:
+        key = ["doc_id", "_text_digest"]
+        digested = df.withColumn("_text_digest", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+        kept = digested.join(class_survivors(digested), key, "left_semi").dropDuplicates(key)
+        return kept.drop("_text_digest").unionByName(df.where("doc_id is null"))
+
+    return _kept(docs, first_of_each)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +74,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Null and empty texts share none and stay; items without words or id are left out.
     """
-    return contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit = 0").select(docs.columns)
+    return _kept(docs, lambda df: contamination(df, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit = 0"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
