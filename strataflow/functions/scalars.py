@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 NOT_A_READING = ("nan", "-nan", "null")
 #: What counts as a number: a sign, digits with one point, an exponent; or the word nan.
 NUMERIC = r"^(?i)(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|[+-]?nan)$"
+#: All that numbers are made of. What a cast takes besides (suffixes, hexadecimals, infinity) has other letters.
+NUMBER_LETTERS = "0123456789+-.eE"
 SPREADSHEET_EPOCH = "1899-12-30"
 
 
@@ -34,9 +36,13 @@ def row_hash(*columns: Column | str) -> Column:
 
 
 def to_number(c: Column | str) -> Column:
-    """Text as a double: blanks dropped, a decimal comma taken as a point; anything else is null."""
-    text = F.replace(F.replace(F.trim(as_text(c)), F.lit(" "), F.lit("")), F.lit(","), F.lit("."))
-    return F.when(text.rlike(NUMERIC), text.try_cast("double"))
+    """Text as a double: blanks dropped, a decimal comma taken as a point; anything else is null.
+
+    The cast decides, and a look at the letters on what it takes wrongly; no pattern is matched.
+    """
+    text = F.translate(F.trim(as_text(c)), ", ", ".")
+    usual = F.translate(text, NUMBER_LETTERS, "") == ""
+    return F.when(usual | F.lower(text).isin("nan", "+nan", "-nan"), text.try_cast("double"))
 
 
 def null_if_sentinel(value: Column | str, sentinel: Column | str) -> Column:
@@ -48,7 +54,12 @@ def null_if_sentinel(value: Column | str, sentinel: Column | str) -> Column:
 
 def date_from_excel_serial(c: Column | str) -> Column:
     """Day of a spreadsheet serial; the fraction is cut off, and nothing before day 1 is a date."""
-    serial = to_number(c)
+    return date_from_serial(to_number(c))
+
+
+def date_from_serial(serial: Column | str) -> Column:
+    """Day of a serial that is a number already."""
+    serial = _col(serial)
     day = F.floor(serial).cast("int")
     usable = (serial >= 1) & (serial < 2958466) & ~F.isnan(serial)
     return F.when(usable, F.date_add(F.lit(SPREADSHEET_EPOCH).cast("date"), day))

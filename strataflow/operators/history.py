@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,18 +43,38 @@ def scd2(df: DataFrame, key: str, tracked: list[str], order: str, ties: tuple[st
     return versions.select(key, *tracked, "version_number", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"), surrogate_key(key, "version_number").alias("key_hash"))
 
 
-def asof_join(facts: DataFrame, versions: DataFrame, key: str, moment: str, columns: dict[str, str]) -> DataFrame:
+def last_before(rows: DataFrame, marks: DataFrame, key: str, at: str, mark_at: str, ties: tuple[str, ...] = (), chunk: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``rows`` with ``_mark``: the last of the key's ``marks`` whose ``mark_at`` isn't after ``at``, as a struct; null if none.
+
+    Both sides are put in one order under the key and the last mark is carried on, so a key costs its
+    sorting and never pairs. Where single keys hold a large share of all rows, ``chunk`` cuts the
+    order, as F.year would: each stretch is a task's work, begun with the mark that was last before it.
+    """
+    packed = F.struct(*[F.col(c) for c in marks.columns])
+    cut = chunk or (lambda c: F.lit(0))
+    own = rows.withColumns({"_at": F.col(at), "_first": F.lit(1), "_mark": F.lit(None).cast(marks.select(packed.alias("m")).schema["m"].dataType), "_chunk": cut(F.col(at))})
+    given = marks.where(F.col(key).isNotNull()).select(F.col(key), F.col(mark_at).alias("_at"), F.lit(0).alias("_first"), packed.alias("_mark"), cut(F.col(mark_at)).alias("_chunk"))
+    by_tie = [F.col(f"_mark.{t}").asc_nulls_last() for t in ties]
+    if chunk is not None:
+        begins = own.where(F.col(key).isNotNull()).select(key, "_chunk").distinct().withColumns({"_first": F.lit(0), "_begins": F.lit(True)})
+        along = Window.partitionBy(key).orderBy(F.col("_chunk").asc_nulls_first(), F.col("_begins").desc_nulls_last(), "_at", *by_tie).rowsBetween(Window.unboundedPreceding, 0)
+        carried = given.unionByName(begins, allowMissingColumns=True).withColumn("_mark", F.last("_mark", ignorenulls=True).over(along))
+        given = given.unionByName(carried.where("_begins and _mark is not null").drop("_begins").withColumn("_first", F.lit(-1)))
+    both = own.unionByName(given, allowMissingColumns=True)
+    along = Window.partitionBy(key, "_chunk").orderBy(F.when(F.col("_first") == -1, 0).otherwise(1), F.col("_at").asc_nulls_first(), "_first", *by_tie).rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("_mark", F.last("_mark", ignorenulls=True).over(along)).where("_first = 1").drop("_first", "_chunk", "_at")
+
+
+def asof_join(facts: DataFrame, versions: DataFrame, key: str, moment: str, columns: dict[str, str], chunk: Callable[[Column], Column] | None = None) -> DataFrame:
     """Each fact with the version valid at its moment, in [valid_from, valid_to); facts without one stay.
 
-    ``columns`` maps names in ``versions`` to names in the result. The key is an equality and the
-    interval a residual condition, so Spark broadcasts the versions if their size, known from files
-    or from the finished shuffle, allows it, and deals both sides out by the key otherwise.
+    ``columns`` maps names in ``versions`` to names in the result. Versions of a key don't overlap, as
+    ``scd2`` makes them. ``chunk``: see ``last_before``.
     """
-    slim = versions.select(F.col(key).alias("_key"), "valid_from", "valid_to", *[F.col(a).alias(f"_v_{b}") for a, b in columns.items()])
-    at = F.col(moment)
-    holds = (F.col(key) == F.col("_key")) & (at >= F.col("valid_from")) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
-    joined = facts.join(slim, holds, "left")
-    return joined.select(*facts.columns, *[F.col(f"_v_{b}").alias(b) for b in columns.values()])
+    marks = versions.select(F.col(key), "valid_from", "valid_to", *columns)
+    joined = last_before(facts, marks, key, moment, "valid_from", chunk=chunk)
+    holds = F.col(moment).isNotNull() & F.col(key).isNotNull() & (F.col("_mark.valid_to").isNull() | (F.col(moment) < F.col("_mark.valid_to")))
+    return joined.select(*[F.col(c) for c in facts.columns], *[F.when(holds, F.col(f"_mark.{a}")).alias(b) for a, b in columns.items()])
 
 
 def unresolved_key(identifier: Column | str) -> Column:

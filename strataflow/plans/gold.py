@@ -29,7 +29,8 @@ def dim_wellbore(daily: DataFrame, names: DataFrame | None = None) -> DataFrame:
         usable = ~F.upper(F.trim("operator")).isin("XXXXX", "UNKNOWN", "NA", "N/A", "")
         label = most_frequent(names.where(usable), "wellbore_uid", "operator").withColumnRenamed("operator", "operator_label")
         days = days.join(label, "wellbore_uid", "left")
-    return scd2(days, "wellbore_uid", ["well_role", "operator_label"], "prod_date", ties=("_row_hash",)).withColumnRenamed("key_hash", "wellbore_key")
+    # A wellbore may hold much of the data: its history is collapsed year by year first.
+    return scd2(days, "wellbore_uid", ["well_role", "operator_label"], "prod_date", ties=("_row_hash",), chunk=F.year("prod_date")).withColumnRenamed("key_hash", "wellbore_key")
 
 
 def dim_well(identities: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ def _with_fallback(df: DataFrame) -> DataFrame:
 
 def fct_production_daily(daily: DataFrame, wellbores: DataFrame) -> DataFrame:
     """Daily volumes with the wellbore version of the day; never without a key."""
-    joined = asof_join(daily, wellbores, "wellbore_uid", "prod_date", {"wellbore_key": "wellbore_key"})
+    joined = asof_join(daily, wellbores, "wellbore_uid", "prod_date", {"wellbore_key": "wellbore_key"}, chunk=F.year)
     return _with_fallback(joined).withColumn("date_key", date_key("prod_date"))
 
 
@@ -89,5 +90,6 @@ def fct_trajectory(stations: DataFrame, wellbores: DataFrame) -> DataFrame:
     return with_current_key(keep_first(owned, ["_owner", "md"], order).drop("_owner"), wellbores)
 
 
-def fct_drilling_state(telemetry: DataFrame) -> DataFrame:
-    return state_spans(telemetry)
+def fct_drilling_state(telemetry: DataFrame, chunk_minutes: int = 1440) -> DataFrame:
+    """Spans of rig states, put together day by day first, as a wellbore may hold much of the data."""
+    return state_spans(telemetry, chunk_minutes=chunk_minutes)

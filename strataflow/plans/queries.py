@@ -2,7 +2,11 @@
 
 The tables are not field data, so each query first dresses them up: suppliers are wellbores, ship
 dates production days, users rigs. All dressing is exact (integers, or integers over ten), so that
-both engines see the same input.
+both engines see the same input. Every row of a table is dressed: where partners are to be missing,
+keys are moved out of the way.
+
+Landing tables and typed models that several queries start from are written when first asked for, as
+the registry writes them; the query of a model builds it from its landing table.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from pyspark.sql import functions as F
 from strataflow.functions import scalars as s
 from strataflow.operators import checks, contract, history, identity, joins, production, rig, runs, survey
 from strataflow.operators.dedup import dedup_by_row_hash, keep_first, most_frequent
-from strataflow.plans import bronze, gold, mart, profile, silver
+from strataflow.plans import bronze, gold, mart, profile, scratch, silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,6 +66,10 @@ DAILY = """
 
 
 def daily_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scratch.model(spark, sf_dir, "prod_daily", lambda: _land_daily(spark, sf_dir))
+
+
+def _land_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landing table of daily production, every tenth wellbore's rows loaded twice."""
     day = F.to_date("l_shipdate")
     all_r = (F.max("l_returnflag") == "R") & (F.min("l_returnflag") == "R")
@@ -92,22 +100,34 @@ def daily_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.production_daily(daily_bronze(spark, sf_dir))
+    return scratch.model(spark, sf_dir, "silver_production_daily", lambda: silver.production_daily(daily_bronze(spark, sf_dir)))
+
+
+def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scratch.model(spark, sf_dir, "silver_production_monthly", lambda: silver.production_monthly(monthly_bronze(spark, sf_dir)))
+
+
+def wellbores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scratch.model(spark, sf_dir, "dim_wellbore", lambda: gold.dim_wellbore(daily(spark, sf_dir)))
 
 
 REPORTED = """
     sums AS (SELECT wellbore_uid, CAST(year(prod_date) * 100 + month(prod_date) AS INTEGER) AS month_key,
                     sum(oil_sm3) AS oil_sm3, sum(gas_sm3) AS gas_sm3, sum(water_sm3) AS water_sm3 FROM silver GROUP BY 1, 2),
-    reported AS (SELECT wellbore_uid, CASE WHEN month_key % 9 = 4 THEN month_key + 5000 ELSE month_key END AS month_key,
+    reported AS (SELECT wellbore_uid, CASE WHEN month_key % 9 = 4 OR month_key % 7 = 2 THEN month_key + 5000 ELSE month_key END AS month_key,
                         CAST(CAST(oil_sm3 AS BIGINT) * (CASE WHEN month_key % 3 = 0 THEN 105 ELSE 100 END) // 100 AS DOUBLE) AS oil_sm3,
                         CAST(CASE WHEN month_key % 4 = 1 THEN 0 ELSE CAST(gas_sm3 AS BIGINT) END AS DOUBLE) AS gas_sm3, water_sm3
-                 FROM sums WHERE month_key % 7 <> 2)"""
+                 FROM sums)"""
 
 
 def monthly_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A landing table of reported months: some missing, some off by five per cent, some out of place."""
-    sums = production.monthly_sums(daily(spark, sf_dir)).where("month_key % 7 <> 2")
-    year = F.expr("month_key div 100 + case when month_key % 9 = 4 then 50 else 0 end")
+    return scratch.model(spark, sf_dir, "prod_monthly", lambda: _land_monthly(spark, sf_dir))
+
+
+def _land_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing table of reported months: some off by five per cent, some out of place and so missing where they belong."""
+    sums = production.monthly_sums(daily(spark, sf_dir))
+    year = F.expr("month_key div 100 + case when month_key % 9 = 4 or month_key % 7 = 2 then 50 else 0 end")
     rows = sums.select(
         F.col("wellbore_uid").alias("wellbore_name"), F.lit("1").alias("npdcode"), year.alias("year"), F.expr("month_key % 100").alias("month"), F.lit(720).alias("on_stream"),
         F.expr("cast(oil_sm3 as bigint) * (case when month_key % 3 = 0 then 105 else 100 end) div 100").alias("oil"),
@@ -255,8 +275,8 @@ def table_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT count(*) AS rows, count(*) FILTER (user_id % 2 = 0) AS rows_with_uid, 100.0 * count(*) FILTER (user_id % 2 = 0) / count(*) AS uid_pct FROM events""")
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = events(spark, sf_dir).select("user_id").distinct().where("user_id % 2 = 0")
-    crosswalk = known.select(F.lit("EVENTS").alias("source_system"), F.col("user_id").cast("string").alias("source_identifier"), F.col("user_id").cast("string").alias("wellbore_uid"))
+    uid = F.when(F.col("user_id") % 2 == 0, F.col("user_id").cast("string"))
+    crosswalk = events(spark, sf_dir).select("user_id").distinct().select(F.lit("EVENTS").alias("source_system"), F.col("user_id").cast("string").alias("source_identifier"), uid.alias("wellbore_uid"))
     rows = events(spark, sf_dir).withColumn("_source_identifier", F.col("user_id").cast("string"))
     return bronze.table_counts(bronze.add_technical_columns(rows, ["event_id"], "EVENTS", crosswalk=crosswalk))
 
@@ -273,7 +293,7 @@ def out_of_replay_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {DAILY} SELECT wellbore_uid, prod_date, on_stream_hrs, well_type, oil_sm3, gas_sm3, water_sm3, injected_sm3, reported_bore_oil_vol,
            CASE WHEN CAST(substr(wellbore_uid, 2) AS INTEGER) % 2 = 0 THEN on_stream_hrs * 200 ELSE on_stream_hrs * 2 END AS choke_pct FROM silver""")
 def silver_production_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily(spark, sf_dir).select("wellbore_uid", "prod_date", "on_stream_hrs", "well_type", "oil_sm3", "gas_sm3", "water_sm3", "injected_sm3", "reported_bore_oil_vol", "choke_pct")
+    return silver.production_daily(daily_bronze(spark, sf_dir)).select("wellbore_uid", "prod_date", "on_stream_hrs", "well_type", "oil_sm3", "gas_sm3", "water_sm3", "injected_sm3", "reported_bore_oil_vol", "choke_pct")
 
 
 @query(f"""WITH {DAILY}, {REPORTED} SELECT wellbore_uid, CAST(month_key AS INTEGER) AS month_key, oil_sm3, gas_sm3, water_sm3, CAST(NULL AS DOUBLE) AS gas_injected_sm3 FROM reported""")
@@ -302,7 +322,7 @@ def production_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
            missing_from_daily OR missing_from_monthly OR abs(coalesce(oil_fraction, 0)) > 0.02 OR abs(coalesce(gas_fraction, 0)) > 0.02 OR abs(coalesce(water_fraction, 0)) > 0.02 AS out_of_tolerance
     FROM f""")
 def allocation_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(mart.mart_allocation_reconciliation(daily(spark, sf_dir), silver.production_monthly(monthly_bronze(spark, sf_dir))))
+    return rounded(mart.mart_allocation_reconciliation(daily(spark, sf_dir), monthly(spark, sf_dir)))
 
 
 @query(f"""
@@ -339,20 +359,19 @@ def dim_wellbore(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     WITH {DAILY}, {_ROLES}
     SELECT s.wellbore_uid, s.prod_date, s.oil_sm3, CAST(year(prod_date) * 10000 + month(prod_date) * 100 + day(prod_date) AS INTEGER) AS date_key, coalesce(v.wellbore_key, md5('UNRESOLVED|' || s.wellbore_uid)) AS wellbore_key
-    FROM silver s LEFT JOIN (SELECT * FROM versions WHERE CAST(substr(wellbore_uid, 2) AS INTEGER) % 5 <> 0) v
+    FROM silver s LEFT JOIN (SELECT * REPLACE (CASE WHEN CAST(substr(wellbore_uid, 2) AS INTEGER) % 5 = 0 THEN 'moved ' || wellbore_uid ELSE wellbore_uid END AS wellbore_uid) FROM versions) v
       ON s.wellbore_uid = v.wellbore_uid AND s.prod_date >= v.valid_from AND (v.valid_to IS NULL OR s.prod_date < v.valid_to)""")
 def fct_production_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = daily(spark, sf_dir)
-    known = gold.dim_wellbore(facts).where("cast(substring(wellbore_uid, 2) as int) % 5 <> 0")
-    return gold.fct_production_daily(facts, known).select("wellbore_uid", "prod_date", "oil_sm3", "date_key", "wellbore_key")
+    moved = F.when(F.expr("cast(substring(wellbore_uid, 2) as int) % 5 = 0"), F.concat(F.lit("moved "), "wellbore_uid")).otherwise(F.col("wellbore_uid"))
+    known = wellbores(spark, sf_dir).withColumn("wellbore_uid", moved)
+    return gold.fct_production_daily(daily(spark, sf_dir), known).select("wellbore_uid", "prod_date", "oil_sm3", "date_key", "wellbore_key")
 
 
 @query(f"""
     WITH {DAILY}, {REPORTED}, {_ROLES}
     SELECT r.wellbore_uid, CAST(r.month_key AS INTEGER) AS month_key, r.oil_sm3, v.wellbore_key FROM reported r LEFT JOIN versions v ON r.wellbore_uid = v.wellbore_uid AND v.valid_to IS NULL""")
 def fct_production_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = silver.production_monthly(monthly_bronze(spark, sf_dir))
-    return gold.fct_production_monthly(months, gold.dim_wellbore(daily(spark, sf_dir))).select("wellbore_uid", "month_key", "oil_sm3", "wellbore_key")
+    return gold.fct_production_monthly(monthly(spark, sf_dir), wellbores(spark, sf_dir)).select("wellbore_uid", "month_key", "oil_sm3", "wellbore_key")
 
 
 # ---------------------------------------------------------------- history over events
@@ -365,7 +384,7 @@ _TYPES = """
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.scd2(events(spark, sf_dir), "user_id", ["event_type"], "ts")
+    return history.scd2(events(spark, sf_dir), "user_id", ["event_type"], "ts", chunk=F.to_date("ts"))
 
 
 @query(f"""WITH {_TYPES} SELECT user_id, event_type, version_number, valid_from, valid_to, valid_to IS NULL AS is_current, key_hash FROM versions""")
@@ -375,9 +394,10 @@ def scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     WITH {_TYPES} SELECT e.event_id, coalesce(v.key_hash, md5('UNRESOLVED|' || CAST(e.user_id AS VARCHAR))) AS version_key
-    FROM events e LEFT JOIN (SELECT * FROM versions WHERE user_id % 4 <> 0) v ON e.user_id = v.user_id AND e.ts >= v.valid_from AND (v.valid_to IS NULL OR e.ts < v.valid_to)""")
+    FROM events e LEFT JOIN (SELECT * REPLACE (CASE WHEN user_id % 4 = 0 THEN -1 - user_id ELSE user_id END AS user_id) FROM versions) v ON e.user_id = v.user_id AND e.ts >= v.valid_from AND (v.valid_to IS NULL OR e.ts < v.valid_to)""")
 def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = history.asof_join(events(spark, sf_dir), _versions(spark, sf_dir).where("user_id % 4 <> 0"), "user_id", "ts", {"key_hash": "found"})
+    moved = F.when(F.col("user_id") % 4 == 0, -1 - F.col("user_id")).otherwise(F.col("user_id"))
+    joined = history.asof_join(events(spark, sf_dir), _versions(spark, sf_dir).withColumn("user_id", moved), "user_id", "ts", {"key_hash": "found"}, chunk=lambda t: F.to_date(t))
     return joined.select("event_id", F.coalesce("found", history.unresolved_key("user_id")).alias("version_key"))
 
 
@@ -447,14 +467,18 @@ def minimum_curvature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH {STATIONS}, d AS (SELECT l_orderkey, md, 0.25 AS e, seq FROM curve)
-    SELECT l_orderkey, CAST(max(CASE WHEN seq % 2 = 0 THEN 0.25 ELSE 0.0 END) AS DOUBLE) AS max_tvd, min(CASE WHEN seq = 2 THEN md END) AS md_at_max, max(md) AS max_md FROM d GROUP BY 1 HAVING count(*) > 1""")
+    WITH {STATIONS}, d AS (SELECT l_orderkey, md, CASE WHEN seq % 2 = 0 THEN 0.25 ELSE 0.0 END AS v, CASE WHEN seq % 3 = 0 THEN 0.5 ELSE 0.0 END AS n, CASE WHEN seq % 5 = 0 THEN 1.25 ELSE 0.0 END AS e FROM curve),
+    o AS (SELECT *, sqrt(v * v + n * n + e * e) AS off FROM d),
+    r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY off DESC, md) AS k FROM o)
+    SELECT l_orderkey, CAST(max(v) AS DOUBLE) AS max_tvd, CAST(max(n) AS DOUBLE) AS max_north, CAST(max(e) AS DOUBLE) AS max_east, round(max(off), 6) AS max_position, min(md) FILTER (k = 1) AS md_at_max, max(md) AS max_md,
+           round(CASE WHEN max(md) > 0 THEN 100 * max(off) / max(md) END, 6) AS max_position_pct FROM r GROUP BY 1""")
 def closure_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ours = curve(spark, sf_dir)
-    several = ours.groupBy("l_orderkey").agg(F.count("*").alias("n")).where("n > 1").select("l_orderkey")
-    ours = ours.join(several, "l_orderkey").withColumn("tvd", F.round(F.col("tvd") * 4) / 4)  # quarters, so that differences are exact
-    theirs = ours.withColumn("tvd", F.col("tvd") + F.when(F.col("seq") % 2 == 0, 0.25).otherwise(0.0))
-    return survey.closure_error(ours, theirs, ["l_orderkey", "seq", "md"], "l_orderkey").select("l_orderkey", "max_tvd", "md_at_max", "max_md")
+    """Our stations against themselves, moved by known steps on all three axes."""
+    axes = {"tvd": (2, 0.25), "north": (3, 0.5), "east": (5, -1.25)}
+    ours = curve(spark, sf_dir).withColumns({c: F.round(F.col(c) * 4) / 4 for c in axes})  # quarters, so that differences are exact
+    theirs = ours.withColumns({c: F.col(c) + F.when(F.col("seq") % n == 0, step).otherwise(0.0) for c, (n, step) in axes.items()})
+    out = survey.closure_error(ours, theirs, ["l_orderkey", "seq", "md"], "l_orderkey")
+    return rounded(out.select("l_orderkey", "max_tvd", "max_north", "max_east", "max_position", "md_at_max", "max_md", "max_position_pct"))
 
 
 @query(f"""
@@ -470,24 +494,26 @@ def interpolation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- identity
 
 _SPELLED = """
-    spelled AS (SELECT s_suppkey, CAST(15 + s_nationkey % 3 AS VARCHAR) AS q, CAST(1 + s_nationkey % 9 AS VARCHAR) AS b, CAST(s_suppkey AS VARCHAR) AS n, CASE s_suppkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'T2' ELSE '' END AS t, s_suppkey % 4 AS v FROM supplier WHERE s_suppkey < 1000),
+    spelled AS (SELECT s_suppkey, CAST(15 + 3 * (s_suppkey // 1000 % 300) + s_nationkey % 3 AS VARCHAR) AS q, CAST(1 + 9 * (s_suppkey // 300000) + s_nationkey % 9 AS VARCHAR) AS b, CAST(s_suppkey % 1000 AS VARCHAR) AS n,
+                       CASE s_suppkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'T2' ELSE '' END AS t, s_suppkey % 4 AS v FROM supplier),
     named AS (SELECT *, q || '/' || b || '-F-' || n || CASE WHEN t = '' THEN '' ELSE ' ' || t END AS uid,
                      CASE v WHEN 0 THEN q || '/' || b || '-F-' || n || CASE WHEN t = '' THEN '' ELSE ' ' || t END WHEN 1 THEN 'NO ' || q || '_' || b || '-F' || n || t
-                            WHEN 2 THEN 'Norway-Statoil-' || q || '_$47$_' || b || '-f-' || n || '_' || lower(t) ELSE 'Relief well ' || n END AS spelling FROM spelled)"""
+                            WHEN 2 THEN 'Norway-Statoil-' || q || '_$47$_' || b || '-f-' || n || '_' || lower(t) ELSE 'Relief well ' || CAST(s_suppkey AS VARCHAR) END AS spelling FROM spelled)"""
 
 
 def spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
-    q, b, n = (15 + F.col("s_nationkey") % 3).cast("string"), (1 + F.col("s_nationkey") % 9).cast("string"), key.cast("string")
+    q = F.expr("cast(15 + 3 * (s_suppkey div 1000 % 300) + s_nationkey % 3 as string)")
+    b, n = F.expr("cast(1 + 9 * (s_suppkey div 300000) + s_nationkey % 9 as string)"), (key % 1000).cast("string")
     t = F.when(key % 3 == 0, "A").when(key % 3 == 1, "T2").otherwise("")
     plain = F.concat(q, F.lit("/"), b, F.lit("-F-"), n, F.when(t == "", "").otherwise(F.concat(F.lit(" "), t)))
     spelling = (
         F.when(key % 4 == 0, plain)
         .when(key % 4 == 1, F.concat(F.lit("NO "), q, F.lit("_"), b, F.lit("-F"), n, t))
         .when(key % 4 == 2, F.concat(F.lit("Norway-Statoil-"), q, F.lit("_$47$_"), b, F.lit("-f-"), n, F.lit("_"), F.lower(t)))
-        .otherwise(F.concat(F.lit("Relief well "), n))
+        .otherwise(F.concat(F.lit("Relief well "), key.cast("string")))
     )
-    return table(spark, sf_dir, "supplier").where("s_suppkey < 1000").select("s_suppkey", spelling.alias("spelling"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", spelling.alias("spelling"))
 
 
 @query(f"""WITH {_SPELLED} SELECT s_suppkey, spelling, CASE WHEN v < 3 THEN uid END AS wellbore_uid, CASE WHEN v < 3 AND t <> '' THEN t END AS sidetrack, CASE WHEN v = 2 THEN 'Statoil' END AS operator,
@@ -541,11 +567,12 @@ def lookup_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- runs, gaps, profile
 
-_DAYS = "days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_id % 3 = 0)"
+_DAYS = "days AS (SELECT DISTINCT user_id, CAST(ts AS DATE) + CAST(event_id % 97 AS INTEGER) AS day FROM events)"
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).where("event_id % 3 = 0").select("user_id", F.to_date("ts").alias("day"))
+    """All events, spread over some months so that there are gaps."""
+    return events(spark, sf_dir).select("user_id", F.date_add(F.to_date("ts"), (F.col("event_id") % 97).cast("int")).alias("day"))
 
 
 @query("""
@@ -628,15 +655,15 @@ def unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH o AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) - DATE '1995-01-01' AS begin_day FROM orders WHERE o_orderkey % 3 = 0),
-    e AS (SELECT o_custkey, o_orderkey AS other_key, CAST(o_orderdate AS DATE) - DATE '1995-01-01' AS begin_day FROM orders WHERE o_orderkey % 3 = 1)
+    WITH o AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) - DATE '1995-01-01' AS begin_day FROM orders),
+    e AS (SELECT o_custkey, o_orderkey AS other_key, CAST(o_orderdate AS DATE) - DATE '1995-01-01' AS begin_day FROM orders)
     SELECT o.o_custkey, o.o_orderkey, e.other_key, CAST(least(o.begin_day + 90, e.begin_day + 60) - greatest(o.begin_day, e.begin_day) AS INTEGER) AS overlap
     FROM o JOIN e ON o.o_custkey = e.o_custkey AND least(o.begin_day + 90, e.begin_day + 60) > greatest(o.begin_day, e.begin_day)""")
 def overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("begin", F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date")))
-    left = orders.where("o_orderkey % 3 = 0").select("o_custkey", "o_orderkey", "begin", (F.col("begin") + 90).alias("end"))
-    right = orders.where("o_orderkey % 3 = 1").select("o_custkey", F.col("o_orderkey").alias("other_key"), F.col("begin").alias("other_begin"), (F.col("begin") + 60).alias("other_end"))
-    return joins.overlap_join(left, right, ["o_custkey"], ("begin", "end"), ("other_begin", "other_end")).select("o_custkey", "o_orderkey", "other_key", "overlap")
+    left = orders.select("o_custkey", "o_orderkey", "begin", (F.col("begin") + 90).alias("end"))
+    right = orders.select("o_custkey", F.col("o_orderkey").alias("other_key"), F.col("begin").alias("other_begin"), (F.col("begin") + 60).alias("other_end"))
+    return joins.overlap_join(left, right, ["o_custkey"], ("begin", "end"), ("other_begin", "other_end"), width=90).select("o_custkey", "o_orderkey", "other_key", "overlap")
 
 
 @query("""
@@ -661,9 +688,10 @@ def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.unique(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("""SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)""")
+@query("""SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT CASE WHEN c_custkey % 10 = 0 THEN -c_custkey ELSE c_custkey END FROM customer)""")
 def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.relationships(table(spark, sf_dir, "orders"), "o_custkey", table(spark, sf_dir, "customer").where("c_custkey % 10 <> 0"), "c_custkey").select("o_orderkey")
+    moved = table(spark, sf_dir, "customer").select(F.when(F.col("c_custkey") % 10 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey")).alias("c_custkey"))
+    return checks.relationships(table(spark, sf_dir, "orders"), "o_custkey", moved, "c_custkey").select("o_orderkey")
 
 
 @query("""
@@ -731,7 +759,7 @@ def dim_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_SAMPLES} SELECT CAST(event_id AS DOUBLE) AS index_value, md5(mnemonic) AS curve_key, md5('UNRESOLVED|15/9-F-' || CAST(user_id AS VARCHAR)) AS wellbore_key FROM samples")
 def fct_log_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = silver.log_sample(log_samples(spark, sf_dir), log_headers(spark, sf_dir))
-    return gold.fct_log_sample(facts, gold.dim_wellbore(daily(spark, sf_dir))).select("index_value", "curve_key", "wellbore_key")
+    return gold.fct_log_sample(facts, wellbores(spark, sf_dir)).select("index_value", "curve_key", "wellbore_key")
 
 
 @query("""
@@ -753,20 +781,30 @@ def dim_well(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.dim_well(rows)
 
 
-@query("""
-    WITH s AS (SELECT o_custkey, o_orderkey, o_orderkey % 50 AS md, CAST(o_orderdate AS DATE) AS d FROM orders),
-    r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, md ORDER BY d DESC, CAST(o_orderkey AS VARCHAR)) AS k FROM s)
-    SELECT '15/9-F-' || CAST(o_custkey AS VARCHAR) AS wellbore_uid, CAST(md AS DOUBLE) AS md, CAST(o_orderkey AS VARCHAR) AS trajectory_uid, d AS station_date, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 180.0 ELSE 45.0 END AS DOUBLE) AS inclination_deg FROM r WHERE k = 1""")
-def fct_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stations_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strataflow.sources.columns import TRAJECTORY_STATION
 
-    even = F.col("o_orderkey") % 2 == 0
+    even, md = F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 50
     given = {
-        "trajectory_uid": F.col("o_orderkey"), "station_seq": F.lit(1), "dtim_station": F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), "md": F.col("o_orderkey") % 50,
+        "trajectory_uid": F.col("o_orderkey"), "station_seq": F.lit(1), "dtim_station": F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), "md": md, "source_crs": F.when(md % 4 == 0, "ED50"),
         "incl": F.when(even, "3.141592653589793").otherwise("45"), "incl_uom": F.when(even, "rad").otherwise("dega"), "azi": F.lit("0"),
     }
     rows = table(spark, sf_dir, "orders").select(*[given.get(c, F.lit(None)).cast("string").alias(c) for c in TRAJECTORY_STATION], F.concat(F.lit("15/9-F-"), F.col("o_custkey").cast("string")).alias("_source_identifier"))
-    facts = gold.fct_trajectory(silver.trajectory_station(_bronze(rows, list(TRAJECTORY_STATION), "TRAJECTORY")), gold.dim_wellbore(daily(spark, sf_dir)))
+    return _bronze(rows, list(TRAJECTORY_STATION), "TRAJECTORY")
+
+
+def results_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").groupBy("o_custkey", F.to_date("o_orderdate").alias("d")).agg(F.count("*").alias("oil_total"), F.sum("o_orderkey").alias("water_total"), F.max("o_orderkey").alias("gas_total"))
+    rows = rows.select(F.col("d").cast("string").alias("report_date"), "oil_total", "water_total", "gas_total", F.concat(F.lit("15/9-F-"), F.col("o_custkey").cast("string")).alias("_source_identifier"))
+    return _bronze(rows, ["report_date", "oil_total", "water_total", "gas_total"], "SIM")
+
+
+@query("""
+    WITH s AS (SELECT o_custkey, o_orderkey, o_orderkey % 50 AS md, CAST(o_orderdate AS DATE) AS d FROM orders),
+    r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, md ORDER BY d DESC, CAST(o_orderkey AS VARCHAR)) AS k FROM s)
+    SELECT '15/9-F-' || CAST(o_custkey AS VARCHAR) AS wellbore_uid, CAST(md AS DOUBLE) AS md, CAST(o_orderkey AS VARCHAR) AS trajectory_uid, d AS station_date, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 180.0 ELSE 45.0 END AS DOUBLE) AS inclination_deg FROM r WHERE k = 1""")
+def fct_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = gold.fct_trajectory(silver.trajectory_station(stations_bronze(spark, sf_dir)), wellbores(spark, sf_dir))
     return facts.select("wellbore_uid", "md", "trajectory_uid", "station_date", "inclination_deg")
 
 
@@ -775,10 +813,8 @@ def fct_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT '15/9-F-' || CAST(o_custkey AS VARCHAR) AS wellbore_uid, d AS report_date, CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, phase, CAST(volume AS DOUBLE) AS volume
     FROM (SELECT o_custkey, d, 'OIL' AS phase, a AS volume FROM w UNION ALL SELECT o_custkey, d, 'WATER', b FROM w UNION ALL SELECT o_custkey, d, 'GAS', c FROM w)""")
 def fct_simulation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").groupBy("o_custkey", F.to_date("o_orderdate").alias("d")).agg(F.count("*").alias("oil_total"), F.sum("o_orderkey").alias("water_total"), F.max("o_orderkey").alias("gas_total"))
-    rows = rows.select(F.col("d").cast("string").alias("report_date"), "oil_total", "water_total", "gas_total", F.concat(F.lit("15/9-F-"), F.col("o_custkey").cast("string")).alias("_source_identifier"))
-    results = silver.simulation_result(_bronze(rows, ["report_date", "oil_total", "water_total", "gas_total"], "SIM"))
-    return gold.fct_simulation(results, gold.dim_wellbore(daily(spark, sf_dir))).select("wellbore_uid", "report_date", "date_key", "phase", "volume")
+    results = silver.simulation_result(results_bronze(spark, sf_dir))
+    return gold.fct_simulation(results, wellbores(spark, sf_dir)).select("wellbore_uid", "report_date", "date_key", "phase", "volume")
 
 
 @query(f"""
@@ -807,53 +843,92 @@ def export_wellbore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("wellbore_uid", "version_number", F.get_json_object("record", "$.id").alias("id"), state("FacilityStateTypeID").alias("state"), state("EffectiveDateTime").alias("effective"), state("TerminationDateTime").alias("terminated"))
 
 
+_COVERED = """
+    i AS (SELECT event_type AS source_system, user_id, CASE WHEN user_id % 5 <> 0 THEN 'W' || CAST(user_id % 40 AS VARCHAR) END AS uid FROM events GROUP BY 1, 2),
+    c AS (SELECT source_system, 100.0 * count(uid) / count(*) AS pct FROM i GROUP BY 1)"""
+
+
 @query(f"""
-    WITH {DAILY}, {_ROLES}, f AS (SELECT count(*) AS n FROM silver), w AS (SELECT count(DISTINCT wellbore_uid) AS n FROM versions)
-    SELECT 'daily rows' AS name, CAST(n AS DOUBLE) AS value, n >= 14000 AS met FROM f UNION ALL SELECT 'daily keys', 100.0, true UNION ALL SELECT 'wellbores', CAST(n AS DOUBLE), n >= 7 FROM w
-    UNION ALL SELECT 'current versions', 0.0, true UNION ALL SELECT 'days', 3044.0, true""")
+    WITH {DAILY}, {REPORTED}, {_ROLES}, {_COVERED},
+    stations AS (SELECT DISTINCT o_custkey, o_orderkey % 50 AS md FROM orders), results AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders),
+    current AS (SELECT wellbore_uid, count(*) FILTER (valid_to IS NULL) AS n FROM versions GROUP BY 1),
+    m(name, value, threshold, at_least) AS (
+        SELECT 'daily freshness', date_diff('day', max(prod_date), DATE '2016-09-30'), 2, false FROM silver
+        UNION ALL SELECT 'monthly freshness', date_diff('day', last_day(make_date(CAST(max(month_key) // 100 AS BIGINT), CAST(max(month_key) % 100 AS BIGINT), 1)), DATE '2016-09-30'), 62, false FROM reported
+        UNION ALL SELECT 'daily rows', count(*), 14000, true FROM silver UNION ALL SELECT 'monthly rows', count(*), 480, true FROM reported
+        UNION ALL SELECT 'log rows', count(*), 30000, true FROM events UNION ALL SELECT 'trajectory rows', count(*), 450, true FROM stations UNION ALL SELECT 'simulation rows', 3 * count(*), 180, true FROM results
+        UNION ALL SELECT 'daily keys', 100.0 * count(s.wellbore_uid) / count(*), 100, true FROM silver s UNION ALL SELECT 'wellbores', count(DISTINCT wellbore_uid), 7, true FROM versions
+        UNION ALL SELECT 'current versions', count(*) FILTER (n <> 1), 0, false FROM current UNION ALL SELECT 'days', date_diff('day', DATE '2008-06-01', DATE '2016-09-30') + 1, 3044, true
+        UNION ALL SELECT 'log curve keys', 100.0 * count(event_type) / count(*), 99, true FROM events UNION ALL SELECT 'curves', count(DISTINCT event_type), 1, true FROM events
+        UNION ALL SELECT 'trajectory reference systems', 100.0 * count(CASE WHEN md % 4 = 0 THEN 'ED50' END) / count(*), 100, true FROM stations
+        UNION ALL SELECT 'identity coverage', 100.0 * count(uid) / count(*), 95, true FROM i UNION ALL SELECT 'weak systems', count(*) FILTER (pct < 50), 0, false FROM c)
+    SELECT name, round(CAST(value AS DOUBLE), 6) AS value, CASE WHEN at_least THEN value >= threshold ELSE value <= threshold END AS met FROM m""")
 def slo_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sixteen objectives over models built from the dressed tables, met or not."""
     from strataflow.plans import slo
 
-    facts = daily(spark, sf_dir)
-    wellbores = gold.dim_wellbore(facts)
-    for name, df in {"fct_production_daily": gold.fct_production_daily(facts, wellbores), "dim_wellbore": wellbores, "dim_date": gold.dim_date(spark)}.items():
+    facts, known = daily(spark, sf_dir), wellbores(spark, sf_dir)
+    samples = silver.log_sample(log_samples(spark, sf_dir), log_headers(spark, sf_dir))
+    rows = events(spark, sf_dir).groupBy(F.col("event_type").alias("source_system"), "user_id").agg(F.count("*").alias("occurrences"))
+    named = rows.withColumn("wellbore_uid", F.when(F.col("user_id") % 5 != 0, F.concat(F.lit("W"), (F.col("user_id") % 40).cast("string"))))
+    models = {
+        "fct_production_daily": gold.fct_production_daily(facts, known), "fct_production_monthly": gold.fct_production_monthly(monthly(spark, sf_dir), known), "dim_wellbore": known,
+        "dim_date": gold.dim_date(spark), "fct_log_sample": gold.fct_log_sample(samples, known), "dim_curve": gold.dim_curve(silver.log_curve(log_headers(spark, sf_dir))),
+        "fct_trajectory": gold.fct_trajectory(silver.trajectory_station(stations_bronze(spark, sf_dir)), known), "fct_simulation": gold.fct_simulation(silver.simulation_result(results_bronze(spark, sf_dir)), known),
+        "mart_identity_coverage": mart.mart_identity_coverage(named),
+    }
+    for name, df in models.items():
         df.createOrReplaceTempView(name)
-    wanted = ("daily rows", "daily keys", "wellbores", "current versions", "days")
-    found = slo.evaluate(spark, [o for o in slo.default_objectives("2016-09-30") if o.name in wanted])
-    return spark.createDataFrame([(m.objective.name, m.value, m.met) for m in found], "name string, value double, met boolean")
+    found = slo.evaluate(spark, slo.default_objectives("2016-09-30"))
+    return rounded(spark.createDataFrame([(m.objective.name, m.value, m.met) for m in found], "name string, value double, met boolean"))
 
 
-@query("""
-    SELECT name, true AS holds FROM (VALUES ('br02_flag_matches_the_variance'), ('br02_reconciliation_covers_every_wellbore_month'), ('br02_reconciliation_finds_real_disagreement'),
-      ('br03_injectors_never_report_produced_oil'), ('br03_produced_water_never_includes_injected_water'), ('br04_every_violating_day_is_quarantined'), ('br04_quarantined_rows_remain_in_silver'),
-      ('gold_daily_fact_row_count_matches_silver'), ('gold_every_fact_joins_to_a_wellbore_version'), ('gold_scd2_has_exactly_one_current_version'), ('gold_scd2_versions_do_not_overlap'),
-      ('silver_dedup_by_row_hash_left_no_duplicates'), ('silver_scandinavian_characters_survived'), ('br05_volumes_stay_in_sm3_until_mart')) AS t(name)""")
+@query(f"""
+    WITH {DAILY}, {REPORTED},
+    met AS (SELECT s.wellbore_uid, s.oil_sm3 AS a, r.oil_sm3 AS b, s.gas_sm3 AS c, r.gas_sm3 AS d FROM sums s JOIN reported r USING (wellbore_uid, month_key)),
+    seen AS (SELECT count(*) FILTER (well_type = 'WI') AS injected, max(CASE WHEN CAST(substr(wellbore_uid, 2) AS INTEGER) % 2 = 0 THEN on_stream_hrs * 200 ELSE on_stream_hrs * 2 END) AS choke, min(prod_date) AS first, max(prod_date) AS last,
+                    count(*) FILTER (on_stream_hrs = 0 AND (oil_sm3 > 0 OR gas_sm3 > 0 OR water_sm3 > 0) OR on_stream_hrs > 0 AND oil_sm3 = 0 AND gas_sm3 = 0 AND water_sm3 = 0 AND injected_sm3 = 0 OR on_stream_hrs > 24) AS broken, count(*) AS n FROM silver),
+    differ AS (SELECT count(*) FILTER (abs((a - b) / nullif(b, 0)) > 0.02 OR abs((c - d) / nullif(d, 0)) > 0.02) AS n FROM met)
+    SELECT name, holds, planted FROM seen, differ, LATERAL (VALUES
+      ('br02_flag_matches_the_variance', true, seen.n = 0), ('br02_reconciliation_covers_every_wellbore_month', true, seen.n = 0), ('br02_reconciliation_finds_real_disagreement', differ.n > 0, false),
+      ('br03_injectors_never_report_produced_oil', true, injected = 0), ('br03_produced_water_never_includes_injected_water', true, injected = 0),
+      ('br04_every_violating_day_is_quarantined', true, broken = 0), ('br04_quarantined_rows_remain_in_silver', true, broken = 0),
+      ('br05_choke_is_normalised_to_percent', coalesce(choke <= 100, true), false), ('br05_volumes_stay_in_sm3_until_mart', true, false),
+      ('gold_daily_fact_row_count_matches_silver', true, false), ('gold_every_fact_joins_to_a_wellbore_version', true, false), ('gold_scd2_has_exactly_one_current_version', true, false), ('gold_scd2_versions_do_not_overlap', true, false),
+      ('silver_dates_decoded_within_field_life', first >= DATE '2008-06-01' AND last <= DATE '2016-09-30', false), ('silver_dedup_by_row_hash_left_no_duplicates', true, false), ('silver_scandinavian_characters_survived', true, false)) AS t(name, holds, planted)""")
 def assertions_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Those of the assertions that the dressed tables can meet, over models built from them."""
+    """Every assertion over the models of production, as they are and with a breach of each planted in them."""
     from strataflow.plans import assertions
 
-    facts, months = daily(spark, sf_dir), silver.production_monthly(monthly_bronze(spark, sf_dir))
-    wellbores = gold.dim_wellbore(facts)
+    facts, months, known = daily(spark, sf_dir), monthly(spark, sf_dir), wellbores(spark, sf_dir)
     models = {
-        "silver_production_daily": facts, "silver_production_monthly": months, "silver_production_quarantine": production.quarantine(facts), "dim_wellbore": wellbores,
-        "fct_production_daily": gold.fct_production_daily(facts, wellbores), "mart_allocation_reconciliation": mart.mart_allocation_reconciliation(facts, months), "mart_well_performance": mart.mart_well_performance(facts),
+        "silver_production_daily": facts, "silver_production_monthly": months, "silver_production_quarantine": production.quarantine(facts), "dim_wellbore": known,
+        "fct_production_daily": gold.fct_production_daily(facts, known), "mart_allocation_reconciliation": mart.mart_allocation_reconciliation(facts, months), "mart_well_performance": mart.mart_well_performance(facts),
+    }
+    injector = F.col("well_type") == "WI"
+    spoilt = {c: F.when(injector, 1.0).otherwise(F.col(c)) for c in ("oil_sm3", "water_sm3")}
+    spoilt |= {"choke_pct": F.lit(250.0), "prod_date": F.lit("1970-01-01").cast("date"), "npd_facility_name": F.lit("M\ufffdRSK")}
+    agreed = models["mart_allocation_reconciliation"].withColumn("out_of_tolerance", ~F.col("out_of_tolerance"))
+    breaches = {
+        "br02_flag_matches_the_variance": {"mart_allocation_reconciliation": agreed}, "br02_reconciliation_covers_every_wellbore_month": {"mart_allocation_reconciliation": agreed.where("false")},
+        "br02_reconciliation_finds_real_disagreement": {"mart_allocation_reconciliation": agreed.where("false")}, "br04_every_violating_day_is_quarantined": {"silver_production_quarantine": models["silver_production_quarantine"].where("false")},
+        "br04_quarantined_rows_remain_in_silver": {"silver_production_daily": facts.where("false")}, "br05_volumes_stay_in_sm3_until_mart": {"mart_well_performance": models["mart_well_performance"].withColumn("oil_boe", F.col("oil_boe") + 1)},
+        "gold_daily_fact_row_count_matches_silver": {"fct_production_daily": models["fct_production_daily"].where("false")}, "gold_every_fact_joins_to_a_wellbore_version": {"dim_wellbore": known.where("false")},
+        "gold_scd2_has_exactly_one_current_version": {"dim_wellbore": known.withColumn("is_current", F.lit(False))},
+        "gold_scd2_versions_do_not_overlap": {"dim_wellbore": known.unionByName(known.withColumns({"version_number": F.col("version_number") + 1000000, "valid_from": F.lit("1900-01-01").cast("date")}))},
+        "silver_dedup_by_row_hash_left_no_duplicates": {"silver_production_daily": facts.unionByName(facts)},
     }
-    beyond = ("br05_choke_is_normalised_to_percent", "silver_dates_decoded_within_field_life")  # ship dates and quantities are no field's
-    held = {n: v for n, v in assertions.evaluate(models).items() if n not in beyond}
-    return spark.createDataFrame(sorted(held.items()), "name string, holds boolean")
+    found = assertions.evaluate(models)
+    planted = {name: assertions.evaluate({**models, **breaches.get(name, {"silver_production_daily": facts.withColumns(spoilt)})}, [name])[name] for name in found}
+    return spark.createDataFrame([(name, holds, planted[name]) for name, holds in sorted(found.items())], "name string, holds boolean, planted boolean")
 
 
 @query("""SELECT event_id, CAST(user_id AS VARCHAR) AS wellbore_uid, ts FROM events""")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events sent twice through the routed stream in one batch: every one arrives once."""
-    import tempfile
-
     from strataflow.streaming import telemetry as stream
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strataflow-")
-    from uuid import uuid4
-
-    folder = f"{base}/stream-{uuid4().hex}"
+    folder = scratch.fresh_path(spark, "stream")
     rows = events(spark, sf_dir).select(F.col("user_id").cast("string").alias("wellbore_uid"), F.lit("1").alias("bit_depth_m"), F.lit("1").alias("hole_depth_m"), F.col("event_id").cast("string").alias("producer_seq"))
     # The contract's times are milliseconds; each event gets a millisecond of its own to be told apart.
     raw = rows.select("wellbore_uid", F.col("producer_seq").alias("ts"), "bit_depth_m", "hole_depth_m", "producer_seq")

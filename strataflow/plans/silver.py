@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.scalars import date_from_excel_serial, date_from_iso, null_if_sentinel, to_number
+from strataflow.functions.scalars import date_from_iso, date_from_serial, null_if_sentinel, to_number
 from strataflow.operators.dedup import dedup_by_row_hash
 from strataflow.operators.survey import to_degrees
 
@@ -25,32 +25,33 @@ def _int(c: str) -> Column:
 def production_daily(bronze: DataFrame) -> DataFrame:
     """Typed daily volumes. An injector's produced volumes are zero, whatever was reported, which stays beside.
 
-    The choke is in per cent by its row's own unit. Rows without a date drop out.
+    The choke is in per cent by its row's own unit. Rows without a date drop out. Each text is parsed
+    once, before its number is used.
     """
     rows = dedup_by_row_hash(bronze)
-    injector = F.upper(F.trim("well_type")) == "WI"
-    produced = lambda c: F.when(injector, 0.0).otherwise(F.coalesce(to_number(c), F.lit(0.0)))
-    unit = F.upper(F.trim("avg_choke_uom"))
-    size = to_number("avg_choke_size_p")
-    plain = {c: to_number(c).alias(c) for c in ("avg_downhole_pressure", "avg_downhole_temperature", "avg_dp_tubing", "avg_annulus_press", "avg_whp_p", "avg_wht_p", "dp_choke_size") if c in rows.columns}
+    volumes = ("bore_oil_vol", "bore_gas_vol", "bore_wat_vol", "bore_wi_vol")
+    others = [c for c in ("on_stream_hrs", "avg_downhole_pressure", "avg_downhole_temperature", "avg_dp_tubing", "avg_annulus_press", "avg_whp_p", "avg_wht_p", "dp_choke_size") if c in rows.columns]
+    rows = rows.withColumns({f"_{c}": to_number(c) for c in ("dateprd", "avg_choke_size_p", *volumes)} | {c: to_number(c) for c in others})
+    rows = rows.withColumns({"prod_date": date_from_serial("_dateprd"), "well_type": F.upper(F.trim("well_type")), "_unit": F.upper(F.trim("avg_choke_uom"))}).where("prod_date is not null")
+    injector = F.col("well_type") == "WI"
+    produced = lambda c: F.when(injector, 0.0).otherwise(F.coalesce(f"_{c}", F.lit(0.0)))
+    unit, size = F.col("_unit"), F.col("_avg_choke_size_p")
     names = [F.col(c) for c in ("well_bore_code", "npd_well_bore_code", "npd_well_bore_name", "npd_field_code", "npd_field_name", "npd_facility_code", "npd_facility_name") if c in rows.columns]
-    out = rows.select(
+    return rows.select(
         *_lineage(rows),
-        date_from_excel_serial("dateprd").alias("prod_date"),
+        "prod_date",
         *names,
-        to_number("on_stream_hrs").alias("on_stream_hrs"),
-        *plain.values(),
+        *others,
         F.when(unit.isin("%", "PCT", "PERCENT"), size).when(unit.isin("FRAC", "FRACTION"), size * 100).alias("choke_pct"),
         F.col("avg_choke_uom").alias("reported_choke_uom"),
         produced("bore_oil_vol").alias("oil_sm3"),
         produced("bore_gas_vol").alias("gas_sm3"),
         produced("bore_wat_vol").alias("water_sm3"),
-        F.when(injector, F.coalesce(to_number("bore_wi_vol"), F.lit(0.0))).otherwise(0.0).alias("injected_sm3"),
-        *[to_number(c).alias(f"reported_{c}") for c in ("bore_oil_vol", "bore_gas_vol", "bore_wat_vol", "bore_wi_vol")],
+        F.when(injector, F.coalesce("_bore_wi_vol", F.lit(0.0))).otherwise(0.0).alias("injected_sm3"),
+        *[F.col(f"_{c}").alias(f"reported_{c}") for c in volumes],
         "flow_kind",
-        F.upper(F.trim("well_type")).alias("well_type"),
+        "well_type",
     )
-    return out.where("prod_date is not null")
 
 
 def production_monthly(bronze: DataFrame) -> DataFrame:
