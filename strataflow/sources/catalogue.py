@@ -49,7 +49,7 @@ SOURCES: dict[str, FieldSource] = {
     for s in (
         FieldSource("prod_daily", "PROD", columns.PROD_DAILY, xlsx.read_prod_daily),
         FieldSource("prod_monthly", "PROD_MONTHLY", columns.PROD_MONTHLY, xlsx.read_prod_monthly),
-        FieldSource("ddr_activity", "DDR", columns.DDR_ACTIVITY, _plain(witsml.read_ddr_activity)),
+        FieldSource("ddr_activity", "DDR", columns.DDR_ACTIVITY, _plain(witsml.read_reports)),
         FieldSource("trajectory_station", "TRAJECTORY", columns.TRAJECTORY_STATION, _plain(witsml.read_trajectory_station)),
         FieldSource("witsml_message", "WITSML", columns.WITSML_MESSAGE, _plain(witsml.read_witsml_message)),
         FieldSource("witsml_log_header", "WITSML", columns.WITSML_LOG_HEADER, _plain(witsml.read_witsml_log_header), dated=False),

@@ -6,10 +6,12 @@ size while the file is still being read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 Row = dict[str, str | None]
 BATCH_ROWS = 10_000
@@ -53,6 +55,66 @@ def parse_files(files: DataFrame, parse: Callable[[str, bytes], Iterator[Row]],
     return files.mapInArrow(run, schema)
 
 
+class _Written(WriterCommitMessage):
+    def __init__(self, moves: list[tuple[str, str]]):
+        self.moves = moves
+
+
+class WholeFiles(DataSource):
+    """Rows of (name, content) as files of those names and bytes below the folder in the option ``path``.
+
+    Tasks write under other names; what a job has finished gets its own names, what it hasn't goes. The
+    store is any that Arrow reads by its address, and must be one that all executors share.
+    """
+
+    @classmethod
+    def name(cls):
+        return "whole_files"
+
+    def writer(self, schema, overwrite):
+        return _FileWriter(self.options["path"])
+
+
+class _FileWriter(DataSourceWriter):
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def _store(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.folder)
+
+    def write(self, iterator):
+        store, folder = self._store()
+        store.create_dir(folder)
+        moves = []
+        for row in iterator:
+            own = f"{folder}/_{uuid.uuid4().hex}"
+            with store.open_output_stream(own) as out:
+                out.write(bytes(row["content"]))
+            moves.append((own, f"{folder}/{row['name']}"))
+        return _Written(moves)
+
+    def commit(self, messages):
+        store, _ = self._store()
+        for message in messages:
+            for own, name in message.moves if message else ():
+                store.create_dir(name.rpartition("/")[0])
+                store.move(own, name)
+
+    def abort(self, messages):
+        store, _ = self._store()
+        for message in messages:
+            for own, _ in message.moves if message else ():
+                store.delete_file(own)
+
+
+def write_files(files: DataFrame, folder: str) -> None:
+    """Write rows of (name, content) as files below ``folder``, each whole or not at all."""
+    files.sparkSession.dataSource.register(WholeFiles)
+    files.select("name", "content").write.format("whole_files").mode("append").option("path", folder).save()
+
+
 def file_name(path: str) -> str:
     return path.rstrip("/").rpartition("/")[2]
 

@@ -83,7 +83,7 @@ def cross_archive_agreement(entries: DataFrame) -> DataFrame:
 def profile_text(raw: bytes) -> dict[str, str | int | None]:
     """Encoding, line ends, likely delimiter, forms of dates, sentinels and units of a text file."""
     text, encoding = decode_text(raw)
-    lines = [x for x in text.splitlines() if x.strip()][:200]
+    lines = [x for x in text.splitlines() if x.strip()]
     ends = "crlf" if "\r\n" in text else "lf" if "\n" in text else None
     counts = {d: [line.count(d) for line in lines] for d in (",", ";", "\t", "|")}
     steady = [d for d, n in counts.items() if n and min(n) > 0 and max(n) == min(n)]
@@ -94,11 +94,22 @@ def profile_text(raw: bytes) -> dict[str, str | int | None]:
 
 
 def spread_sample(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """n rows at even distances in the given order; all rows if there are no more."""
+    """n rows at even distances in the given order; all rows if there are no more.
+
+    Rows are ranked by ranges of the order: each range has its own window, and begins with the number
+    of rows in the ranges before it.
+    """
     from pyspark.sql import Window
 
-    total = df.count()
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    sizes = {r[0]: r[1] for r in ranged.groupBy("_range").count().collect()}
+    total = sum(sizes.values())
     if total <= n:
         return df
-    rank = F.row_number().over(Window.orderBy(*order)) - 1
-    return df.withColumn("_rank", rank).where(F.floor(F.col("_rank") * n / total) != F.floor((F.col("_rank") - 1) * n / total)).drop("_rank")
+    before, held = {}, 0
+    for k in sorted(sizes):
+        before[k], held = held, held + sizes[k]
+    base = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1 + F.element_at(base, F.col("_range"))
+    picked = ranged.withColumn("_rank", rank).where(F.floor(F.col("_rank") * n / total) != F.floor((F.col("_rank") - 1) * n / total))
+    return picked.drop("_rank", "_range")

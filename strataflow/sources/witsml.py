@@ -6,6 +6,7 @@ prefixed documents work alike; the namespace and version columns come from the r
 
 from __future__ import annotations
 
+import datetime as dt
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,6 +71,23 @@ def read_ddr_activity(spark: SparkSession, path: str, glob: str = "*.xml") -> Da
     return _select(rows, DDR_ACTIVITY, found, F.coalesce(_text("nameWellbore"), _text("nameWell")), day)
 
 
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """Activities of all reports: from XML, and from HTML where no XML of the same place and name exists."""
+    documents, pages = read_ddr_activity(spark, path), read_ddr_html(spark, path)
+    bare = lambda c: F.regexp_replace(F.regexp_replace(c, "^file:/+", "/"), r"\.[^./]*$", "")  # noqa: E731  the two sources spell local paths differently
+    named = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml").load(path).select(bare("path").alias("_name"))
+    return documents.unionByName(pages.join(named, bare("_source_file") == F.col("_name"), "left_anti"))
+
+
+def _day_in_name(path: str) -> str | None:
+    """The day at the end of a report's file name, as ``report_date_from_name`` reads it."""
+    parts = stem(path).split("_")[-3:]
+    try:
+        return dt.datetime.strptime("-".join(parts), "%Y-%m-%d").date().isoformat() if [len(x) for x in parts] == [4, 2, 2] else None
+    except ValueError:
+        return None
+
+
 class _Cells(HTMLParser):
     def __init__(self):
         super().__init__()
@@ -88,7 +106,10 @@ class _Cells(HTMLParser):
 
 
 def read_ddr_html(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
-    """Reports that exist as HTML alone: names from label and value cells, a row per line of three cells or more."""
+    """Reports in HTML: names from label and value cells, a row per line of three cells or more.
+
+    The day is the one in the file's name; null if there is none that is a date.
+    """
 
     def parse(where: str, raw: bytes):
         cells = _Cells()
@@ -97,7 +118,7 @@ def read_ddr_html(spark: SparkSession, path: str, glob: str = "*.html") -> DataF
         for row in cells.rows:
             if len(row) >= 2 and row[0][1]:
                 labels.setdefault(row[0][1].rstrip(":").strip().lower(), row[1][1])
-        day = "-".join(stem(where).split("_")[-3:])
+        day = _day_in_name(where)
         head: Row = {"report_date": day, "name_well": labels.get("well"), "name_wellbore": labels.get("wellbore"), "source_format": "html", "_replay_date": day}
         head["_source_identifier"] = head["name_wellbore"] or head["name_well"]
         for k, row in enumerate(cells.rows, 1):
@@ -180,19 +201,20 @@ def read_witsml_log_data(spark: SparkSession, path: str, glob: str = "*.xml") ->
 
 
 def document_roots(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
-    """(_source_file, root, namespace, version) from each file's first tag."""
-
-    def parse(where: str, raw: bytes):
-        import re
+    """(_source_file, root, namespace, version) from each file's first tag, wherever it ends.
 
-        head = decode_text(raw[: 1 << 14])[0]
-        tag = re.search(r"<(?![?!])(?:[\w.-]+:)?([\w.-]+)([^>]*)>", head)
-        if tag:
-            space = re.search(r"xmlns(?::[\w.-]+)?\s*=\s*[\"']([^\"']*witsml[^\"']*)[\"']", tag[2], re.I) or re.search(r"xmlns(?::[\w.-]+)?\s*=\s*[\"']([^\"']*)[\"']", tag[2])
-            version = re.search(r"\bversion\s*=\s*[\"']([^\"']*)[\"']", tag[2])
-            yield {"root": tag[1], "namespace": space and space[1], "version": version and version[1]}
-
-    return parse_files(binary_files(spark, path, glob), parse, ("root", "namespace", "version")).select("_source_file", "root", "namespace", "version")
+    Text is read up to each closing bracket, and of a file only what comes first counts: no file is
+    held as a whole.
+    """
+    pieces = spark.read.option("lineSep", ">").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+    pieces = pieces.select("value", F.col("_metadata.file_path").alias("_source_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_seq"))
+    tag = r"<((?:[\w.-]+:)?[\w.-]+)([^<]*)$"
+    opens = pieces.where(F.col("value").rlike(tag) & ~F.col("value").rlike(r"<[?!][^<]*$"))
+    first = opens.groupBy("_source_file").agg(F.min_by("value", F.struct("_at", "_seq")).alias("value"))
+    space = lambda name: F.nullif(F.regexp_extract("_rest", rf"""(?i)xmlns(?::[\w.-]+)?\s*=\s*["']({name})["']""", 1), F.lit(""))
+    rows = first.select("_source_file", F.regexp_extract("value", tag, 1).alias("_tag"), F.regexp_extract("value", tag, 2).alias("_rest"))
+    version = F.nullif(F.regexp_extract("_rest", r"""\bversion\s*=\s*["']([^"']*)["']""", 1), F.lit(""))
+    return rows.select("_source_file", F.element_at(F.split("_tag", ":"), -1).alias("root"), F.coalesce(space("[^\"']*witsml[^\"']*"), space("[^\"']*")).alias("namespace"), version.alias("version"))
 
 
 def survey_document_types(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
@@ -200,9 +222,8 @@ def survey_document_types(spark: SparkSession, path: str, glob: str = "*.xml") -
 
 
 def _with_namespace(spark: SparkSession, rows: DataFrame, path: str, glob: str) -> DataFrame:
-    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  the two sources spell local paths differently
-    roots = document_roots(spark, path, glob).select(bare("_source_file").alias("_file"), F.col("namespace").alias("_namespace"), F.col("version").alias("_version"))
-    return rows.join(roots, bare("_source_file") == F.col("_file"), "left").drop("_file")
+    roots = document_roots(spark, path, glob).select(F.col("_source_file").alias("_file"), F.col("namespace").alias("_namespace"), F.col("version").alias("_version"))
+    return rows.join(roots, F.col("_source_file") == F.col("_file"), "left").drop("_file")
 
 
 def telemetry_samples(log_data: DataFrame) -> DataFrame:

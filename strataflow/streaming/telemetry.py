@@ -7,11 +7,13 @@ in the batches before. The main sink drops duplicates within the watermark.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from strataflow.operators.contract import CHANNELS, split_valid, validate_records
 
@@ -82,16 +84,25 @@ def route_batch(batch: DataFrame, number: int, folder: str, state: _State, minut
     good.where(late).drop("_micros").write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
     fresh = good.where(~late).dropDuplicates(["wellbore_uid", "ts"]).withColumn("ts_date", F.to_date("ts"))
     if limit is not None:
-        schema = fresh.drop("_micros").schema.add("batch", "integer")  # declared, as earlier batches may have had no new rows
-        earlier = spark.read.schema(schema).parquet(f"{folder}/telemetry").where(F.col("batch") < number)
-        earlier = earlier.where(F.col("ts_date") >= F.to_date(F.timestamp_micros(F.lit(limit)))).select("wellbore_uid", "ts")
+        earlier = _earlier(spark, f"{folder}/telemetry", fresh.drop("_micros", "ts_date").schema, limit).where(F.col("batch") < number).select("wellbore_uid", "ts")
         fresh = fresh.join(earlier, ["wellbore_uid", "ts"], "left_anti")
-    fresh.drop("_micros").write.mode("overwrite").partitionBy("ts_date").parquet(f"{folder}/telemetry/batch={number}")
+    fresh.withColumn("batch", F.lit(number)).drop("_micros").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ts_date", "batch").parquet(f"{folder}/telemetry")
     greatest = good.agg(F.max("_micros")).first()[0]
     state.put(number, max((x for x in (seen, greatest) if x is not None), default=None))
     checked.unpersist()
 
 
+def _earlier(spark: SparkSession, path: str, schema: StructType, limit: int) -> DataFrame:
+    """What earlier batches wrote for the days since ``limit`` (microseconds); only those days' folders are listed."""
+    store = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = store.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    since = f"ts_date={dt.datetime.fromtimestamp(limit // 1_000_000, dt.UTC).date() - dt.timedelta(days=1)}"  # a day more, as sessions have zones
+    days = [f.getPath().toString() for f in fs.listStatus(root) if f.getPath().getName() >= since and f.getPath().getName().startswith("ts_date=")] if fs.exists(root) else []
+    full = StructType([*schema.fields, StructField("ts_date", DateType()), StructField("batch", IntegerType())])
+    return spark.read.option("basePath", path).schema(full).parquet(*days) if days else spark.createDataFrame([], full)
+
+
 def start_routing(raw: DataFrame, folder: str, checkpoint: str, minutes: int = WATERMARK_MINUTES, available_now: bool = True) -> StreamingQuery:
     """Run the whole path; a query that is started again with the same checkpoint goes on where it stopped."""
     spark = raw.sparkSession
