@@ -7,8 +7,11 @@ prefixed documents work alike; the namespace and version columns come from the r
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 from html.parser import HTMLParser
+from xml.parsers import expat
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -200,21 +203,57 @@ def read_witsml_log_data(spark: SparkSession, path: str, glob: str = "*.xml") ->
     return _select(rows, WITSML_LOG_DATA, found, F.coalesce(found["name_wellbore"], found["name_well"]), local_day(index))
 
 
+def _root(chunks: Iterator[bytes]) -> Row | None:
+    """Root, namespace and version from a document's beginning; nothing is read behind its first tag."""
+    found: list[Row] = []
+
+    def start(name: str, attributes: dict[str, str]) -> None:
+        if not found:
+            spaces = [v for k, v in attributes.items() if k.split(":")[0] == "xmlns"]
+            found.append({"root": name.split(":")[-1], "namespace": next((x for x in spaces if "witsml" in x.lower()), spaces[0] if spaces else None), "version": attributes.get("version")})
+
+    parser = expat.ParserCreate()
+    parser.StartElementHandler = start
+    try:
+        for chunk in chunks:
+            parser.Parse(chunk, False)
+            if found:
+                return found[0]
+    except expat.ExpatError:
+        pass
+    return found[0] if found else None
+
+
+def _beginning(path: str, size: int = 1 << 14) -> Iterator[bytes]:
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri("file:///" + path[5:].lstrip("/") if path.startswith("file:") else path)
+    with store.open_input_stream(inner) as file:
+        while chunk := file.read(size):
+            yield chunk
+
+
+#: Stores of which a task can read a file's beginning alone; of others Spark reads files whole.
+DIRECT = ("file", "hdfs", "s3", "gs")
+
+
 def document_roots(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
-    """(_source_file, root, namespace, version) from each file's first tag, wherever it ends.
+    """(_source_file, root, namespace, version) from each document's first tag, comments and declarations passed over."""
+    scheme, colon, _ = path.partition(":")
+    direct = not colon or scheme in DIRECT
+    files = binary_files(spark, path, glob)
 
-    Text is read up to each closing bracket, and of a file only what comes first counts: no file is
-    held as a whole.
-    """
-    pieces = spark.read.option("lineSep", ">").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
-    pieces = pieces.select("value", F.col("_metadata.file_path").alias("_source_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_seq"))
-    tag = r"<((?:[\w.-]+:)?[\w.-]+)([^<]*)$"
-    opens = pieces.where(F.col("value").rlike(tag) & ~F.col("value").rlike(r"<[?!][^<]*$"))
-    first = opens.groupBy("_source_file").agg(F.min_by("value", F.struct("_at", "_seq")).alias("value"))
-    space = lambda name: F.nullif(F.regexp_extract("_rest", rf"""(?i)xmlns(?::[\w.-]+)?\s*=\s*["']({name})["']""", 1), F.lit(""))
-    rows = first.select("_source_file", F.regexp_extract("value", tag, 1).alias("_tag"), F.regexp_extract("value", tag, 2).alias("_rest"))
-    version = F.nullif(F.regexp_extract("_rest", r"""\bversion\s*=\s*["']([^"']*)["']""", 1), F.lit(""))
-    return rows.select("_source_file", F.element_at(F.split("_tag", ":"), -1).alias("root"), F.coalesce(space("[^\"']*witsml[^\"']*"), space("[^\"']*")).alias("namespace"), version.alias("version"))
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for k, where in enumerate(batch.column("path").to_pylist()):
+                row = _root(_beginning(where) if direct else iter([batch.column("content")[k].as_py()]))
+                if row:
+                    rows.append((where, row["root"], row["namespace"], row["version"]))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["_source_file", "root", "namespace", "version"])
+
+    return (files.select("path") if direct else files).mapInArrow(run, "_source_file string, root string, namespace string, version string")
 
 
 def survey_document_types(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
@@ -222,8 +261,9 @@ def survey_document_types(spark: SparkSession, path: str, glob: str = "*.xml") -
 
 
 def _with_namespace(spark: SparkSession, rows: DataFrame, path: str, glob: str) -> DataFrame:
-    roots = document_roots(spark, path, glob).select(F.col("_source_file").alias("_file"), F.col("namespace").alias("_namespace"), F.col("version").alias("_version"))
-    return rows.join(roots, F.col("_source_file") == F.col("_file"), "left").drop("_file")
+    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  the two sources spell local paths differently
+    roots = document_roots(spark, path, glob).select(bare("_source_file").alias("_file"), F.col("namespace").alias("_namespace"), F.col("version").alias("_version"))
+    return rows.join(roots, bare("_source_file") == F.col("_file"), "left").drop("_file")
 
 
 def telemetry_samples(log_data: DataFrame) -> DataFrame:
