@@ -113,3 +113,34 @@ def invalid_records(records: DataFrame) -> DataFrame:
         )
     )
     return records.withColumn("reasons", reasons).where(F.size("reasons") > 0)
+
+
+#: Parts that each kind of record must have besides the envelope: path, and the JSON types it may be. Fixed values of our own.
+DECLARED = {
+    "master-data--Wellbore": (("$.data.FacilityName", "string"), ("$.version", "number"), ("$.data.ExtensionProperties.WellRole", "string")),
+    "work-product-component--WellLog": (("$.data.Name", "string"), ("$.data.WellboreID", "string"), ("$.data.TopMeasuredDepth", "number"), ("$.data.BottomMeasuredDepth", "number")),
+    "work-product-component--WellboreTrajectory": (("$.data.WellboreID", "string"), ("$.data.ExtensionProperties.StationCount", "number")),
+}
+
+
+def schema_failures(records: DataFrame, declared: dict[str, tuple] = DECLARED) -> DataFrame:
+    """One row per declared part that a record lacks or has of another type: ``records``' columns and ``failure``.
+
+    A record is held against the entity that its kind names; a kind that isn't declared fails as such.
+    """
+    parts = F.split(F.get_json_object("record", "$.kind"), ":")
+    entity = F.try_element_at(parts, F.lit(3))
+    failures = [F.when(entity.isNull() | ~entity.isin(*declared), F.concat(F.lit("kind is not declared: "), F.coalesce(entity, F.lit("none"))))]
+    for name, fields in declared.items():
+        for path, kind in fields:
+            value = F.get_json_object("record", path)
+            fault = F.when(value.isNull(), f"{path} is missing")
+            if kind == "number":
+                fault = fault.when(value.try_cast("double").isNull(), f"{path} is not a number")
+            failures.append(F.when(entity == name, fault))
+    return records.withColumn("failure", F.explode(F.array_compact(F.array(*failures))))
+
+
+def first_records(records: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first n records in the given order, the same ones whenever it is asked for."""
+    return records.orderBy(*order).limit(n)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from strataflow.functions.scalars import safe_divide
+from strataflow.functions.scalars import safe_divide, seconds_between
+from strataflow.operators.runs import day_runs
 
 
 def uptime_buckets(daily: DataFrame, hours: str = "on_stream_hrs") -> DataFrame:
@@ -57,3 +58,41 @@ def anomaly_counts(daily: DataFrame, key: str = "wellbore_uid", day: str = "prod
 
 def sentinel_shares(samples: DataFrame) -> DataFrame:
     return samples.groupBy("mnemonic").agg(F.count("*").alias("samples"), F.count_if("was_sentinel").alias("sentinels"), (F.count_if("was_sentinel") / F.count("*")).alias("share"))
+
+
+def shutdown_statistics(daily: DataFrame, key: str = "wellbore_uid", day: str = "prod_date") -> DataFrame:
+    """Of each wellbore that was ever shut in: runs of consecutive days without uptime, their mean and greatest length."""
+    runs = day_runs(daily.where("on_stream_hrs = 0"), key, day)
+    return runs.groupBy(key).agg(F.count("*").alias("runs"), F.avg("days").alias("mean_days"), F.max("days").alias("longest_days"))
+
+
+def water_cut_by_year(daily: DataFrame, day: str = "prod_date") -> DataFrame:
+    """Water in all that was produced in a year, over all wellbores."""
+    return daily.groupBy(F.year(day).alias("year")).agg(safe_divide(F.sum("water_sm3"), F.sum(F.col("oil_sm3") + F.col("water_sm3"))).alias("water_cut"))
+
+
+def gas_oil_ratios(daily: DataFrame, key: str = "wellbore_uid") -> DataFrame:
+    """Gas over oil of each wellbore in all, and the share of its producing days that have gas."""
+    some = daily.where("oil_sm3 > 0")
+    return some.groupBy(key).agg(safe_divide(F.sum("gas_sm3"), F.sum("oil_sm3")).alias("gas_oil_ratio"), (F.count_if(F.col("gas_sm3") > 0) / F.count("*")).alias("days_with_gas"))
+
+
+def gap_statistics(daily: DataFrame, key: str = "wellbore_uid", day: str = "prod_date") -> DataFrame:
+    """Gaps between a wellbore's days: how many, and the days missing in all and at most."""
+    missing = F.datediff(day, F.lag(day).over(Window.partitionBy(key).orderBy(day))) - 1
+    gaps = daily.select(key, day).distinct().withColumn("_missing", missing).where("_missing > 0")
+    return gaps.groupBy(key).agg(F.count("*").alias("gaps"), F.sum("_missing").alias("missing_days"), F.max("_missing").alias("longest_gap"))
+
+
+def telemetry_spacing(telemetry: DataFrame, key: str = "wellbore_uid", long_s: int = 3600) -> DataFrame:
+    """Seconds between a wellbore's samples: mean, greatest, and how many are over ``long_s``."""
+    step = seconds_between(F.lag("ts").over(Window.partitionBy(key).orderBy("ts")), F.col("ts"))
+    steps = telemetry.select(key, step.alias("_step")).where("_step is not null")
+    return steps.groupBy(key).agg(F.count("*").alias("steps"), F.avg("_step").alias("mean_s"), F.max("_step").alias("greatest_s"), F.count_if(F.col("_step") > long_s).alias("long_steps"))
+
+
+def identity_figures(identities: DataFrame) -> DataFrame:
+    """Spellings and systems of each resolved wellbore, and the rows that carry them."""
+    return identities.where("wellbore_uid is not null").groupBy("wellbore_uid").agg(
+        F.count_distinct("source_identifier").alias("spellings"), F.count_distinct("source_system").alias("systems"), F.sum("occurrences").alias("rows")
+    )

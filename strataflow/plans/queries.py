@@ -905,6 +905,7 @@ def assertions_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "silver_production_daily": facts, "silver_production_monthly": months, "silver_production_quarantine": production.quarantine(facts), "dim_wellbore": known,
         "fct_production_daily": gold.fct_production_daily(facts, known), "mart_allocation_reconciliation": mart.mart_allocation_reconciliation(facts, months), "mart_well_performance": mart.mart_well_performance(facts),
     }
+    models = {name: scratch.model(spark, sf_dir, name, lambda df=df: df) for name, df in models.items()}
     injector = F.col("well_type") == "WI"
     spoilt = {c: F.when(injector, 1.0).otherwise(F.col(c)) for c in ("oil_sm3", "water_sm3")}
     spoilt |= {"choke_pct": F.lit(250.0), "prod_date": F.lit("1970-01-01").cast("date"), "npd_facility_name": F.lit("M\ufffdRSK")}

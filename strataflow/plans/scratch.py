@@ -41,3 +41,8 @@ def model(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     if key not in _TABLES:
         _TABLES[key] = written(build(), name)
     return _TABLES[key]
+
+
+def forget() -> None:
+    """Have every model built anew when it is next asked for."""
+    _TABLES.clear()
