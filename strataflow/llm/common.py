@@ -113,7 +113,7 @@ class Memo(dict):
         for word in self.once:
             del self[word]
         cost = lambda new: sum(8 * len(word) + 200 for word in new if len(word) <= longest)
-        new = list(words.difference(self))
+        new = [word for word in words if word not in self]  # a set's own difference would go through all that is known
         size = cost(new)
         if self.held + size > self.limit:
             self.clear()

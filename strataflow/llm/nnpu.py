@@ -83,7 +83,7 @@ def pull(owner: np.ndarray, at: np.ndarray, times: np.ndarray, w: np.ndarray, b:
     return np.concatenate([np.bincount(at, slope[owner], minlength=len(w)), [slope.sum(), (times * s).sum()]])
 
 
-def descend(width: int, of_positive: Callable, of_unlabelled: Callable, prior: float, steps: int = 60, rate: float = 0.2, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def descend(width: int, of_positive: Callable, of_unlabelled: Callable, prior: float, steps: int = 40, rate: float = 0.3, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam on the non-negative risk with the sigmoid loss.
 
     Both functions give the gradient of the mean score by weights and bias, and the mean score.
@@ -112,7 +112,7 @@ def _nothing_learnt() -> ToxicModel:
     return ToxicModel(np.full(BUCKETS, -1, np.int32), np.zeros(0), -3.0)
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = 2048, steps: int = 60, rate: float = 0.2) -> ToxicModel:
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = 2048, steps: int = 40, rate: float = 0.3) -> ToxicModel:
     """The fit of ``train_toxicity`` on bucket sets in memory.
 
     Without positives or unlabelled texts every score is below one half.
@@ -203,7 +203,7 @@ def _mean_pull(sets: DataFrame, texts: float) -> Callable:
     return of
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, most_positive: int = 6000, features: int = 2048, steps: int = 60) -> ToxicModel:
+def train_toxicity(docs: DataFrame, labels: DataFrame, most_positive: int = 6000, features: int = 2048, steps: int = 40) -> ToxicModel:
     """Fit on at most ``most_positive`` labelled toxic texts and on all other text as unlabelled.
 
     The prior is the share of toxic rows among all labelled ones. Neither side uses a held-out row, or

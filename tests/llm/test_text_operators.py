@@ -462,7 +462,7 @@ def test_toxic_fit_and_scores_equal_brute_force(spark):
             g += 1e-4 * w[x] if x is not None else 0
             moment[x] = 0.9 * moment[x] + 0.1 * g
             square[x] = 0.999 * square[x] + 0.001 * g * g
-            move = 0.2 * (moment[x] / (1 - 0.9**step)) / (np.sqrt(square[x] / (1 - 0.999**step)) + 1e-8)
+            move = 0.3 * (moment[x] / (1 - 0.9**step)) / (np.sqrt(square[x] / (1 - 0.999**step)) + 1e-8)
             if x is None:
                 b -= move
             else:
