@@ -104,7 +104,7 @@ class Memo(dict):
     what Python needs for two objects and their entry.
     """
 
-    def __init__(self, learn: Callable[[list[str]], list[bytes]], limit: int = 192 << 20):
+    def __init__(self, learn: Callable[[list[str]], list[bytes]], limit: int = 64 << 20):
         super().__init__()
         self.learn, self.limit, self.held, self.once = learn, limit, 0, []
 

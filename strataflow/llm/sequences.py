@@ -48,7 +48,7 @@ class WordEncoder:
     they are; so does every vocabulary whose pre-tokenizer isn't the byte-level one.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = 64 << 20):
         self.tokenizer = load_tokenizer(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.width = np.dtype(self.kind).itemsize
@@ -61,7 +61,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose text begins with a space
         self.opens[[k for token, k in vocabulary.items() if token[0] == "Ġ"]] = True
-        self.memo = Memo(self._learn)
+        self.memo = Memo(self._learn, remember)
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -94,8 +94,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def load_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def load_encoder(path: str, remember: int = 64 << 20) -> WordEncoder:
+    """The worker's encoder for a vocabulary; it remembers words of so many bytes."""
+    return WordEncoder(path, remember)
 
 
 def _bits(flags: np.ndarray, length: int) -> pa.FixedSizeListArray:
@@ -162,7 +163,7 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, path: str, end_id: int
     """
 
     def encode(batches):
-        encoder, task, count = load_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, task, count = load_encoder(tokenizer_path, 160 << 20), TaskContext.get().partitionId(), 0
         ids, sizes, names, held = [], [], [], 0
 
         def file():
