@@ -90,8 +90,8 @@ def _digest(shingles: np.ndarray, text: str) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
-    """doc_id, k1, k2 (keys of the text's set), grams (their number) and bands (none for a text without words); _text_digest, if ``docs`` has it."""
-    carried = [c for c in ("doc_id", "_text_digest") if c in docs.columns]
+    """doc_id, k1, k2 (keys of the text's set), grams (their number) and bands (none for a text without words); _text_key and _text_digest, if ``docs`` has them."""
+    carried = [c for c in ("doc_id", "_text_key", "_text_digest") if c in docs.columns]
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column("text"))
@@ -103,13 +103,13 @@ def signatures(docs: DataFrame, banding: Banding) -> DataFrame:
             [*carried, "k1", "k2", "grams", "bands"],
         )
 
-    kinds = {"doc_id": "doc_id long, ", "_text_digest": "_text_digest string, "}
+    kinds = {"doc_id": "doc_id long, ", "_text_key": "_text_key long, ", "_text_digest": "_text_digest string, "}
     return map_slices(docs.select(*carried, "text"), "text", sign, "".join(kinds[c] for c in carried) + "k1 long, k2 long, grams long, bands array<long>")
 
 
 def _memberships(nodes: DataFrame) -> DataFrame:
-    """(bucket, band, low, high, block, k1, k2, doc_id, copies): a row per node and tile it takes part in."""
-    held = nodes.where("doc_id is not null").select("k1", "k2", "doc_id", "copies", "grams", F.posexplode("bands").alias("band", "bucket"))
+    """(bucket, band, low, high, block, k1, k2, doc_id, _text_key, copies): a row per node and tile it takes part in."""
+    held = nodes.where("doc_id is not null").select("k1", "k2", "doc_id", "_text_key", "copies", "grams", F.posexplode("bands").alias("band", "bucket"))
     key = F.xxhash64("k1", "k2")
     stats = held.groupBy("bucket", "band").agg(F.count("*").alias("n"), F.sum("grams").alias("grams"), F.bit_xor(key).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "k1", "k2")).alias("y")).where("n > 1")
     # The same members meet in many bands; the first of those buckets serves for all.
@@ -117,7 +117,7 @@ def _memberships(nodes: DataFrame) -> DataFrame:
     members = held.join(kept, ["bucket", "band"])
     blocks = F.greatest(F.least(F.ceil(F.col("n") / TILE), F.lit(SPREAD)), F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(8 * F.col("all_grams") / BLOCK_BYTES)).cast("int")
     members = members.withColumn("block", F.pmod(F.xxhash64(F.lit(2), "k1"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return members.select("bucket", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "k1", "k2", "doc_id", "copies")
+    return members.select("bucket", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "k1", "k2", "doc_id", "_text_key", "copies")
 
 
 class _Side:
@@ -245,8 +245,6 @@ def _links(members: DataFrame, docs: DataFrame, banding: Banding, threshold: tup
                 keys = zip(*(part.column(c).to_pylist() for c in ("bucket", "band", "low", "high")))
                 rest = zip(*(part.column(c).to_pylist() for c in ("block", "k1", "k2", "copies")))
                 for key, (block, k1, k2, copies), shingles, row in zip(keys, rest, sets, bands):
-                    if int(row[key[1]].view(np.int64)) != key[0]:
-                        continue  # another text of the same id
                     if held is None or held["key"] != key:
                         if held is not None and (out := close()) is not None:
                             yield out
@@ -256,7 +254,7 @@ def _links(members: DataFrame, docs: DataFrame, banding: Banding, threshold: tup
         if held is not None and (out := close()) is not None:
             yield out
 
-    tiles = members.join(docs.select("doc_id", "text"), "doc_id")
+    tiles = members.join(docs.select("doc_id", "_text_key", "text"), ["doc_id", "_text_key"])  # ids may repeat with other texts
     tiles = tiles.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "band", "low", "high", "k1", "k2")
     found = tiles.select("bucket", "band", "low", "high", "block", "k1", "k2", "copies", "text").mapInArrow(verify, "tile long, k1 long, k2 long, r1 long, r2 long, texts long, documents long")
     return found.select("tile", F.struct("k1", "k2").alias("node"), F.struct(F.col("r1").alias("k1"), F.col("r2").alias("k2")).alias("root"), "texts", "documents")
@@ -314,8 +312,11 @@ def class_survivors(docs: DataFrame, threshold: tuple[int, int] = (4, 5), rows:
 def _classed(docs: DataFrame, threshold: tuple[int, int], rows: int, recall: float) -> tuple[DataFrame, DataFrame]:
     """The signatures, and k1, k2, label, class_id, n_copies, n_links of each set; a class is a label."""
     banding = Banding(choose_bands(threshold[0] / threshold[1], rows, recall), rows)
+    docs = docs.withColumn("_text_key", F.xxhash64("text"))
     signed = written(signatures(docs, banding), "jaccard-signed")
-    nodes = written(signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("grams").alias("grams"), F.first("bands").alias("bands")), "jaccard-nodes")
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "_text_key"))).alias("first")
+    nodes = signed.groupBy("k1", "k2").agg(first, F.count("*").alias("copies"), F.first("grams").alias("grams"), F.first("bands").alias("bands"))
+    nodes = written(nodes.select("k1", "k2", "first.*", "copies", "grams", "bands"), "jaccard-nodes")
     links = written(_links(_memberships(nodes), docs, banding, (threshold[0], threshold[1])), "jaccard-links")
     return signed, _classes(nodes, links)
 

@@ -192,6 +192,19 @@ def test_large_buckets_equal_brute_force(spark, monkeypatch):
     assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in out) == brute_links(rows)
 
 
+def test_near_copies_that_share_ids_equal_brute_force(spark):
+    from llm_support import prose
+
+    base, rows = prose(700, 100).split(" "), []
+    for k in range(60):  # neighbours in the chain are alike, far ones are not; ids repeat with each kind
+        base[(5 * k) % len(base)] = f"own{k}"
+        rows.append((k % 4, " ".join(base)))
+    rows += [rows[7], (2, None), (2, ""), (None, rows[9][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = jaccard.near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in out) == brute_links(rows)
+
+
 def test_near_duplicates_of_real_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     out = jaccard.near_duplicates(docs).collect()
