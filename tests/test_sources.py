@@ -204,3 +204,36 @@ def test_inventory(spark, tmp_path):
     assert (row.shared, row.equal, row.corroborated) == (1, 1, False)
     assert inventory.spread_sample(found, ["entry"], 2).count() == 2
     assert inventory.profile_text(b"a;b\r\n2020-01-01;-999.25\r\n")["delimiter"] == ";"
+
+
+def test_the_driver_hears_nothing_of_each_written_or_listed_file(spark, tmp_path):
+    import pickle
+
+    sizes = []
+    for n in (10, 1000):
+        writer = files._FileWriter(f"file://{tmp_path}/{n}", "_job")
+        sizes.append(len(pickle.dumps(writer.write({"name": f"a/{k}.txt", "content": b"x"} for k in range(n)))))
+    assert sizes[0] + 10 > sizes[1]
+    (tmp_path / "in" / "sub dir").mkdir(parents=True)
+    for k in range(40):
+        (tmp_path / "in" / ("sub dir" if k % 2 else ".") / f"r{k}_2016_08_04.xml").write_text(DDR)
+        (tmp_path / "in" / ("sub dir" if k % 4 == 1 else ".") / f"r{k}_2016_08_04.html").write_text("<table><tr><td>1</td><td>2</td><td>3</td></tr></table>")
+    out = witsml.read_reports(spark, str(tmp_path / "in"))
+    assert out.inputFiles() == [] and out.groupBy("source_format").count().orderBy("source_format").collect() == [("html", 10), ("xml", 80)]
+
+
+ODD_XML = {
+    "ok": '<a><r uid="1"><n> x </n><m uom="m">5</m><c>1</c><c>2</c></r><r uid="2>"><n>&lt;y</n></r></a>', "cut": '<a><r uid="3"><n>x</n></r><r uid="4"><n>y</n>', "bad": "garbage",
+    "tail": '<a><r uid="5"><n>x</n></r></b>', "empty": "", "none": "<a/>", "_hidden": '<a><r uid="9"/></a>', "long": "<a>" + "".join(f'<r uid="{k}"><n>{"é" * 999}</n></r>' for k in range(100)) + "</a>",
+    "spaced": '<?xml version="1.0"?><!-- <r> --><p:a xmlns:p="u"><p:r uid="6"><p:n>z<![CDATA[<q>]]></p:n><p:m uom="m"/></p:r><b><p:r/></b></p:a>',
+}
+
+
+def test_odd_documents_are_read_as_by_the_xml_source(spark, tmp_path):
+    for name, text in ODD_XML.items():
+        (tmp_path / f"{name}.xml").write_text(text, encoding="utf-8")
+    schema = "_uid string, n string, m struct<_VALUE: string, _uom: string>, c array<string>"
+    own = witsml._xml(spark, str(tmp_path), "r", schema, "*.xml")
+    theirs = spark.read.format("xml").option("rowTag", "r").option("ignoreNamespace", "true").schema(schema).load(f"{tmp_path}/*.xml").selectExpr("*", "_metadata.file_name as file")
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(own.selectExpr("_uid", "n", "m", "c", "element_at(split(_source_file, '/'), -1) as file")) == rows(theirs.where("not file like '\\_%'"))
