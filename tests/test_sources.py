@@ -237,3 +237,18 @@ def test_odd_documents_are_read_as_by_the_xml_source(spark, tmp_path):
     theirs = spark.read.format("xml").option("rowTag", "r").option("ignoreNamespace", "true").schema(schema).load(f"{tmp_path}/*.xml").selectExpr("*", "_metadata.file_name as file")
     rows = lambda df: sorted(map(str, df.collect()))
     assert rows(own.selectExpr("_uid", "n", "m", "c", "element_at(split(_source_file, '/'), -1) as file")) == rows(theirs.where("not file like '\\_%'"))
+
+
+def test_many_small_files_from_one_task_are_written_and_read_by_all(spark, tmp_path):
+    folder = f"file://{tmp_path}/out"
+    files.write_files(spark.range(0, 300, 1, 1).selectExpr("concat(id % 3, '/', id, '.txt') as name", "cast(cast(id as string) as binary) as content"), folder)
+    read = files.binary_files(spark, folder, "*.txt")
+    assert read.inputFiles() == [] and read.count() == 300 and read.rdd.getNumPartitions() == 4
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["0", "1", "2"]
+    writer = files._FileWriter(folder, "_job")
+    own = writer.write([{"name": "3/new.txt", "content": b"new"}]).own
+    for _ in range(2):  # a task that is run again finds its files named
+        files._name(folder, own)
+    assert (tmp_path / "out" / "3" / "new.txt").read_bytes() == b"new"
+    writer.abort([])
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["0", "1", "2", "3"]
