@@ -97,11 +97,15 @@ def spread_sample(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """n rows at even distances in the given order; all rows if there are no more.
 
     Rows are ranked by ranges of the order: each range has its own window, and begins with the number
-    of rows in the ranges before it.
+    of rows in the ranges before it. The ranges are written once, as Spark draws them anew, and puts
+    small ones together by other columns' bytes, whenever they are computed. Rows that ``order`` leaves
+    equal are ranked at will.
     """
     from pyspark.sql import Window
 
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    from strataflow.plans.scratch import written
+
+    ranged = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
     sizes = {r[0]: r[1] for r in ranged.groupBy("_range").count().collect()}
     total = sum(sizes.values())
     if total <= n:

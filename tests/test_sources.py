@@ -252,3 +252,21 @@ def test_many_small_files_from_one_task_are_written_and_read_by_all(spark, tmp_p
     assert (tmp_path / "out" / "3" / "new.txt").read_bytes() == b"new"
     writer.abort([])
     assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["0", "1", "2", "3"]
+
+
+def test_spread_samples_are_ranked_over_ranges_of_any_number_and_size(spark, tmp_path):
+    from strataflow.plans import source_queries
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        make = spark.range(60_000).selectExpr("id as event_id", "timestamp_seconds(id * 7919 % 10007) as ts", "sha2(cast(id as string), 512) as wide")
+        make.write.parquet(f"{tmp_path}/events.parquet")
+        for n in (7, 50):
+            got = inventory.spread_sample(spark.read.parquet(f"{tmp_path}/events.parquet"), ["ts", "event_id"], n).collect()
+            ranked = sorted(range(60_000), key=lambda k: (k * 7919 % 10007, k))
+            assert sorted(r.event_id for r in got) == sorted(x for k, x in enumerate(ranked) if k * n // 60_000 != (k - 1) * n // 60_000)
+        assert sorted(r[0] for r in source_queries.spread_sample(spark, str(tmp_path)).collect()) == sorted(r.event_id for r in got)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
