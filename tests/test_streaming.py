@@ -69,3 +69,12 @@ def test_batches_without_new_rows(spark, tmp_path):
     t.route_batch(make([record(51)]), 4, f"{tmp_path}/out", state)
     assert minutes(spark, tmp_path, "telemetry") == [50, 51] and minutes(spark, tmp_path, "late") == [1]
     assert t.read_routed(spark, str(tmp_path / "out"), "dead_letter").count() == 1
+
+
+def test_resume_tells_events_apart_whatever_their_numbers(spark, tmp_path):
+    from strataflow.plans import source_queries
+
+    ids = [*range(1, 60), *range(10_001, 10_060), *range(500_001, 500_060), *range(1_000_001, 1_000_060), *range(12_345_001, 12_345_060)]
+    spark.createDataFrame([(k, k % 7) for k in ids], "event_id long, user_id long").selectExpr("*", "timestamp_seconds(event_id) as ts").write.parquet(f"{tmp_path}/events.parquet")
+    out = source_queries.stream_resume(spark, str(tmp_path)).collect()
+    assert sorted((r.event_id, r.wellbore_uid) for r in out) == [(k, str(k % 7)) for k in ids if k % 5]
