@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.llm.bpe import codec_digests
 from strataflow.llm.crf import quality_scores
-from strataflow.llm.fertility import fit_bands, quality_rules
+from strataflow.llm.fertility import fitted_rules
 from strataflow.llm.jaccard import near_duplicates
 from strataflow.llm.nnpu import toxicity_scores
 from strataflow.llm.reshard import shard_digests
@@ -50,7 +50,7 @@ def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     vocabularies = tuple(map(public_tokenizers.path, ("piece_bpe_32k.model", "byte_bpe_50k.json")))
-    return quality_rules(docs, vocabularies, fit_bands(docs, _table(spark, sf_dir, "labels"), vocabularies), carry=["doc_id"])
+    return fitted_rules(docs, _table(spark, sf_dir, "labels"), vocabularies, carry=["doc_id"])
 
 
 def op8_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,8 @@ def drawn(rows: DataFrame, n: int, seed: int) -> DataFrame:
     return rows.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(n)
 
 
-def labelled_ids(labels: DataFrame, column: str, value: int, n: int, seed: int) -> DataFrame:
-    """Ids outside the held-out part with this label, n at most; an id with several rows needs one label."""
+def labelled_ids(labels: DataFrame, column: str, value: int, n: int | None = None, seed: int = 0) -> DataFrame:
+    """Ids outside the held-out part with this label, n at most if given; an id with several rows needs one label."""
     one = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(column).alias("least"), F.max(column).alias("most"))
-    return drawn(one.where((F.col("least") == value) & (F.col("most") == value) & ~held_out()).select("doc_id"), n, seed)
+    ids = one.where((F.col("least") == value) & (F.col("most") == value) & ~held_out()).select("doc_id")
+    return ids if n is None else drawn(ids, n, seed)

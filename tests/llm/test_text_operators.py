@@ -9,6 +9,8 @@ from support import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from strataflow.llm import common, crf, fertility, nnpu, samples, winnow
 
 MODEL = P.path("piece_bpe_32k.model")
@@ -470,3 +472,36 @@ def test_toxic_fit_and_scores_equal_brute_force(spark):
     assert model.bias == pytest.approx(b, abs=1e-6) and all(model.weights[model.place[x]] == pytest.approx(w[x], abs=1e-6) for x in chosen)
     out = {r.doc_id: r.score for r in nnpu.score_toxicity(docs, model).collect()}
     assert all(out[k] == pytest.approx(sigmoid(sum(w[x] for x in buckets if x in w) + b), abs=1e-6) for k, buckets in texts.items())
+
+
+def test_bands_are_of_all_clean_texts_and_at_exact_quantiles(spark, odd_docs):
+    few = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").orderBy("doc_id").limit(60).collect()]
+    n = 9000  # more than a sample of 6,000 would hold; the last of each text's variants is an outlier
+    rows = [(k, "fr" if k % 3 else "en", f"{' '.join((few[k % 60] or 'x').split()[:40])} {'the of and to in' if k % 500 else '%%% $$$ &&& ###'} w{k}") for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(7)
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(n)], "doc_id long, quality int, toxic int")
+    bands = fertility.fit_bands(docs, labels, VOCABULARIES)
+    known = fertility._measured(docs, VOCABULARIES, ["doc_id", "lang"]).where(~samples.held_out()).where("not base_failed").collect()
+    assert len(known) > 6000
+    for lang in ("en", "fr"):
+        of = [r for r in known if r.lang == lang and r.script == "latin" and r.n_tokens < 150]
+        figures = np.array([x for _, x in sorted({(r.n_tokens, tuple(r._levels)) for r in of})])
+        for q in fertility.QUANTILES:
+            ends = np.quantile(figures, [q, 1 - q], axis=0)
+            if ((figures >= ends[0]) & (figures <= ends[1])).all(1).mean() >= 0.99:
+                break
+        slack = (ends[1] - ends[0]) / np.sqrt(len(figures))
+        want = np.stack([ends[0] - slack, ends[1] + slack], 1)
+        want[1::3, 0], want[2::3, 1] = 0.0, 1.0
+        np.testing.assert_array_equal(np.array(bands[lang][0]), want)
+
+
+def test_rules_fitted_and_given_at_once_equal_those_by_given_bands(spark, odd_docs, no_docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").unionByName(odd_docs.select("doc_id", "text", "lang"))
+    docs = docs.unionByName(docs.limit(20)).withColumn("kept", F.lit("other")).withColumn("more", F.col("doc_id") + 1)
+    for frame in (docs, docs.drop("lang"), no_docs):
+        for carry in (None, ["doc_id"]):
+            by_bands = fertility.quality_rules(frame, VOCABULARIES, fertility.fit_bands(frame, labels, VOCABULARIES), carry)
+            at_once = fertility.fitted_rules(frame, labels, VOCABULARIES, carry)
+            assert at_once.columns == by_bands.columns and sorted(map(str, at_once.collect())) == sorted(map(str, by_bands.collect()))
