@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strataflow.llm.bpe import codec_digests
 from strataflow.llm.common import written
 from strataflow.llm.crf import score_quality, train_quality
-from strataflow.llm.fertility import fit_bands, quality_rules
+from strataflow.llm.fertility import fitted_rules
 from strataflow.llm.jaccard import class_survivors
 from strataflow.llm.winnow import contamination
 
@@ -45,12 +45,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def token_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the word counts and, under two vocabularies, the token bands of their language and script.
 
-    The bands are measured on the clean labelled documents of ``docs``. Null and empty texts fail the
+    The bands are measured on all clean labelled documents of ``docs``. Null and empty texts fail the
     word counts; a null ``lang`` has its script's bands.
     """
     vocabularies = tuple(map(public_tokenizers.path, ("piece_bpe_32k.model", "byte_bpe_50k.json")))
-    bands = fit_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), vocabularies)
-    return _kept(docs, lambda df: quality_rules(df, vocabularies, bands).where("kept"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _kept(docs, lambda df: fitted_rules(df, labels, vocabularies).where("kept"))
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
