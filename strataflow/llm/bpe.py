@@ -43,7 +43,7 @@ class BytePairCodec:
         self.halves: dict[int, tuple[int, int]] = {}
         self.joined: dict[tuple[int, int], int] = {}
         self.fits: dict[tuple[int, int], bool] = {}
-        self.words = Memo(lambda words: [np.array(self.encode_word(word.encode()), "<u4").tobytes() for word in words])
+        self.words = Memo(lambda words: [np.array(self.encode_word(word.encode()), "<u4").tobytes() for word in words], beside=self.fits)
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.shorter[rank] = next((r for n in range(len(token) - 1, 0, -1) if (r := ranks.get(token[:n])) is not None), -1)

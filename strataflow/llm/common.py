@@ -10,6 +10,7 @@ import hashlib
 import re
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -101,12 +102,28 @@ class Memo(dict):
     """What a worker remembers of each word, as bytes; it starts afresh before it holds over ``limit`` bytes.
 
     The estimate counts a word as four bytes a character and its ids as no more than that, besides
-    what Python needs for two objects and their entry.
+    what Python needs for two objects and their entry. A worker goes from query to query and from stage
+    to stage: where all its memories together would hold over the ``limit`` of the one that learns, the
+    others start afresh first. ``beside`` is a dictionary of answers of a fixed size that goes with them.
     """
 
-    def __init__(self, learn: Callable[[list[str]], list[bytes]], limit: int = 64 << 20):
+    #: Bytes of an answer beside the words.
+    ANSWER = 160
+    _all: list[weakref.ref] = []
+
+    def __init__(self, learn: Callable[[list[str]], list[bytes]], limit: int = 64 << 20, beside: dict | None = None):
         super().__init__()
         self.learn, self.limit, self.held, self.once = learn, limit, 0, []
+        self.beside = {} if beside is None else beside
+        Memo._all = [x for x in Memo._all if x() is not None] + [weakref.ref(self)]
+
+    def forget(self) -> None:
+        self.clear()
+        self.beside.clear()
+        self.held, self.once = 0, []
+
+    def all_held(self) -> int:
+        return self.held + self.ANSWER * len(self.beside)
 
     def know(self, words: set[str], longest: int = 1024) -> None:
         """Have all of ``words``, the new ones learnt together; those over ``longest`` characters until the next call only."""
@@ -115,6 +132,10 @@ class Memo(dict):
         cost = lambda new: sum(8 * len(word) + 200 for word in new if len(word) <= longest)
         new = [word for word in words if word not in self]  # a set's own difference would go through all that is known
         size = cost(new)
+        others = [x for ref in Memo._all if (x := ref()) is not None and x is not self]
+        if new and sum(x.all_held() for x in (self, *others)) + size > self.limit:
+            for x in others:
+                x.forget()
         if self.held + size > self.limit:
             self.clear()
             new = list(words)

@@ -68,6 +68,8 @@ BANDS = {
 
 #: Ends of bands for which there is nothing measured: under any vocabulary most text is inside.
 OPEN = ((0.1, 12.0), (0.0, 1.0), (0.2, 1.0))
+#: Text bytes that are worked on at once: two vocabularies' tokens and their counts take many times as much.
+SLICE = 1 << 19
 FIGURES = ("chars_per_token", "byte_share", "token_entropy")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 JUDGED = ("base_failed", "kept", "script", "n_tokens")
@@ -213,7 +215,7 @@ def quality_rules(docs: DataFrame, vocabularies: str | tuple[str, ...], bands: d
         }
 
     added = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, script string, n_tokens bigint, "
-    return extend(docs, judge, added + ", ".join(f"{name} double" for name in named), carry)
+    return extend(docs, judge, added + ", ".join(f"{name} double" for name in named), carry, limit=SLICE)
 
 
 def _measured(docs: DataFrame, paths: tuple[str, ...], carry: list[str] | None) -> DataFrame:
@@ -239,7 +241,7 @@ def _measured(docs: DataFrame, paths: tuple[str, ...], carry: list[str] | None)
         }
 
     added = [f"{k} bigint" for k in COUNTS] + ["base_failed boolean", "script string", "n_tokens bigint"] + [f"{name} double" for name in named] + ["_levels array<double>", "_factors array<double>"]
-    return extend(docs.drop("kept"), measure, ", ".join(added), carry)
+    return extend(docs.drop("kept"), measure, ", ".join(added), carry, limit=SLICE)
 
 
 def _size() -> Column:

@@ -88,6 +88,24 @@ def test_what_workers_remember_is_bounded():
     assert 400 <= sum(asked) < 200 * 3  # the long word each time, the others once in a while
 
 
+def test_what_a_worker_remembers_in_all_is_bounded():
+    learn = lambda words: [w.encode() for w in words]
+    answers = {k: True for k in range(20)}
+    rules, codec = common.Memo(learn, 20_000), common.Memo(learn, 10_000, beside=answers)
+    for k in range(60):  # a stage that fills its memory, and the next one with another vocabulary
+        rules.know({f"w{k}", "x" * 5000})
+    assert len(rules) == 61 and rules.held > 10_000
+    codec.know({"a", "b"})
+    assert not rules and not rules.held and codec["a"] == b"a" and len(answers) == 20
+    for k in range(85):
+        rules.know({f"w{k}", "x" * 5000})
+        assert rules[f"w{k}"] == f"w{k}".encode() and rules.all_held() + codec.all_held() <= 20_000
+    assert not codec and not answers and len(rules) > 80  # what comes back is learnt again
+    codec.know({"a"})
+    codec.know({"a"})
+    assert codec["a"] == b"a" and not rules
+
+
 def test_nothing_to_count(no_docs):
     assert tokens.count_tokens(no_docs, JSON).collect() == []
 
